@@ -12,6 +12,7 @@ from .expressions import (
     only_if,
     pct,
     rounded_avg,
+    stable_round,
     sum_where,
     threshold_status,
     week_start,
@@ -31,6 +32,7 @@ __all__ = [
     "only_if",
     "pct",
     "rounded_avg",
+    "stable_round",
     "sum_where",
     "threshold_status",
     "week_start",

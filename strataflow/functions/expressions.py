@@ -67,9 +67,17 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), whole), digits)
 
 
+def stable_round(value: Column, digits: int = 2) -> Column:
+    """Round a double half up, first to ten places.
+
+    A distributed sum of doubles differs in its last bits with the order of addition.  The first
+    step removes that noise, so a tie such as 46.725 is not decided by it."""
+    return F.round(F.round(value, 10), digits)
+
+
 def rounded_avg(value: Column | str, digits: int = 2) -> Column:
     """Rounded mean of an integer or double column."""
-    return F.round(F.avg(_col(value)), digits)
+    return stable_round(F.avg(_col(value)), digits)
 
 
 def exact_avg(total: Column, rows: Column, digits: int = 2) -> Column:

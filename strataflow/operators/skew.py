@@ -65,9 +65,8 @@ def skew_join(
         )
         .drop("_splits")
     )
-    narrow = narrow.join(F.broadcast(hot_list), on, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), splits - 1)).cast("long")
-    )
+    parts = F.sequence(F.lit(0).cast("long"), (splits - 1).cast("long"))
+    narrow = narrow.join(F.broadcast(hot_list), on, "left").withColumn("_part", F.explode(parts))
     keys = [*on, "_part"]
     if hot == "left":
         return wide.join(narrow.drop("_splits"), keys, how).drop("_part")

@@ -22,7 +22,7 @@ from ..functions import (
     only_if,
     pct,
     rounded_avg,
-    sum_where,
+    stable_round,
     week_start,
 )
 from ..operators.grouping import first_times, pct_of_total, pct_within, top_k
@@ -272,50 +272,58 @@ def revenue_metrics(
 
     Payments are first combined per application and cell: an application with very many payments
     becomes a few rows before the join, and the later count of applications is a plain count.
-    ``payment_id`` is unique in silver, so counting rows counts payments.
+    Silver guarantees what this relies on: unique ``payment_id``, no missing amount or outcome.
+    Successful figures are the difference of all and failed ones, which keeps the aggregation
+    buffers short.
     """
-    ok, amount, size = F.col("is_successful"), F.col("amount"), F.col("payment_amount_category")
+    failed, amount, size = ~F.col("is_successful"), F.col("amount"), F.col("payment_amount_category")
     per_application = payments.groupBy("application_id", *PAYMENT_DIMS).agg(
         _rows().alias("n"),
-        F.count("amount").alias("n_amount"),
         F.sum("amount").alias("total"),
         F.min("amount").alias("low"),
         F.max("amount").alias("high"),
-        count_where(ok).alias("ok"),
-        count_where(~ok).alias("failed"),
-        sum_where(ok, amount).alias("earned"),
-        sum_where(~ok, amount).alias("lost"),
+        count_where(failed).alias("n_failed"),
+        F.sum(F.when(failed, amount)).alias("lost"),
         count_where(size == "Low").alias("n_low"),
         count_where(size == "Medium").alias("n_medium"),
-        count_where(size == "High").alias("n_high"),
     )
     owners = apps.select("application_id", "country_id", "visa_type_id")
-    cube = (
+    cells = (
         per_application.join(owners, "application_id")
         .groupBy("country_id", "visa_type_id", *PAYMENT_DIMS)
         .agg(
             F.sum("n").alias("total_transactions"),
             _rows().alias("total_applications"),
             F.sum("total").alias("total_revenue"),
-            exact_avg(F.sum("total"), F.sum("n_amount")).alias("avg_transaction_value"),
             F.min("low").alias("min_transaction_value"),
             F.max("high").alias("max_transaction_value"),
-            F.sum("ok").alias("successful_payments"),
-            F.sum("failed").alias("failed_payments"),
-            pct(F.sum("ok"), F.sum("n")).alias("payment_success_rate"),
-            F.sum("lost").alias("revenue_lost_to_failed_payments"),
+            F.sum("n_failed").alias("failed_payments"),
+            F.coalesce(F.sum("lost"), F.lit(0)).alias("revenue_lost_to_failed_payments"),
             F.sum("n_low").alias("low_amount_count"),
             F.sum("n_medium").alias("medium_amount_count"),
-            F.sum("n_high").alias("high_amount_count"),
-            F.sum("earned").alias("successful_revenue"),
-            exact_avg(F.sum("earned"), F.sum("ok")).alias("avg_successful_value"),
         )
     )
+    n, total = F.col("total_transactions"), F.col("total_revenue")
+    ok = n - F.col("failed_payments")
+    earned = total - F.col("revenue_lost_to_failed_payments")
+    cube = cells.withColumns(
+        {
+            "avg_transaction_value": exact_avg(total, n),
+            "successful_payments": ok,
+            "payment_success_rate": pct(ok, n),
+            "high_amount_count": n - F.col("low_amount_count") - F.col("medium_amount_count"),
+            "successful_revenue": earned,
+            "avg_successful_value": exact_avg(earned, ok),
+        }
+    )
     named = join_dim(cube, countries, "country_id", ["country_name", "continent"])
     named = join_dim(named, visa_types, "visa_type_id", ["visa_type_name"])
-    measures = [c for c in cube.columns if c not in ("country_id", "visa_type_id", *PAYMENT_DIMS)]
     return named.select(
-        "country_id", "country_name", "continent", "visa_type_id", "visa_type_name", *PAYMENT_DIMS, *measures
+        "country_id", "country_name", "continent", "visa_type_id", "visa_type_name", *PAYMENT_DIMS,
+        "total_transactions", "total_applications", "total_revenue", "avg_transaction_value",
+        "min_transaction_value", "max_transaction_value", "successful_payments", "failed_payments",
+        "payment_success_rate", "revenue_lost_to_failed_payments", "low_amount_count",
+        "medium_amount_count", "high_amount_count", "successful_revenue", "avg_successful_value",
     )
 
 
@@ -450,7 +458,7 @@ def _weekly_documents(docs: DataFrame, owners: DataFrame, dims: Sequence[str]) -
     return per_application.join(owners, "application_id").groupBy(*dims).agg(
         F.sum("n").alias("total_documents"),
         F.sum("verified").alias("verified_documents"),
-        F.round(F.try_divide(F.sum("hours"), F.sum("n_hours")), 2).alias("avg_verification_hours"),
+        stable_round(F.try_divide(F.sum("hours"), F.sum("n_hours"))).alias("avg_verification_hours"),
         F.sum("fast").alias("fast_verifications"),
         F.sum("standard").alias("standard_verifications"),
         F.sum("slow").alias("slow_verifications"),
@@ -479,7 +487,7 @@ def _weekly_tickets(tickets: DataFrame, owners: DataFrame, dims: Sequence[str])
         F.sum("n").alias("total_tickets"),
         F.sum("resolved").alias("resolved_tickets"),
         F.sum("urgent").alias("high_priority_open"),
-        F.round(F.try_divide(F.sum("hours"), F.sum("n_hours")), 2).alias("avg_resolution_hours"),
+        stable_round(F.try_divide(F.sum("hours"), F.sum("n_hours"))).alias("avg_resolution_hours"),
         F.sum("immediate").alias("immediate_resolutions"),
         F.sum("fast").alias("fast_resolutions"),
     )
@@ -532,7 +540,7 @@ def operational_metrics(
         pct(F.col("late_completions"), n).alias("late_completion_pct"),
         pct(n - F.col("late_completions"), n).alias("on_time_pct"),
         "avg_processing_days", "avg_expected_days",
-        F.round(F.col("avg_processing_days") - F.col("avg_expected_days"), 2).alias("avg_delay_days"),
+        stable_round(F.col("avg_processing_days") - F.col("avg_expected_days")).alias("avg_delay_days"),
         F.coalesce("total_documents", F.lit(0)).alias("total_documents"),
         F.coalesce("verified_documents", F.lit(0)).alias("verified_documents"),
         pct(F.col("verified_documents"), F.col("total_documents")).alias("document_verification_rate"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,30 +51,38 @@ class Lakehouse:
         self.payment_order = payment_order
         self._folder = folder
         self._written: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = {}
 
     @property
     def folder(self) -> str:
-        if self._folder is None:
-            self._folder = shared_folder(self.spark, "lakehouse")
-        return self._folder
+        with self._locks.setdefault("", Lock()):
+            if self._folder is None:
+                self._folder = shared_folder(self.spark, "lakehouse")
+            return self._folder
 
     def clean(self, name: str) -> DataFrame:
         """The silver form of a table as a lazy plan over its raw table."""
         return clean_table(name, self.raw(name), self.as_of, self.payment_order)
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._written:
-            path = f"{self.folder}/{name}"
-            df = build()
-            df.write.mode("overwrite").parquet(path)
-            self._written[name] = self.spark.read.schema(df.schema).parquet(path)
-        return self._written[name]
+        with self._locks.setdefault(name, Lock()):
+            if name not in self._written:
+                path = f"{self.folder}/{name}"
+                df = build()
+                df.write.mode("overwrite").parquet(path)
+                self._written[name] = self.spark.read.schema(df.schema).parquet(path)
+            return self._written[name]
+
+    def _each(self, names: Sequence[str], get: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+        """Several tables at a time, so the tail of one is filled by the next."""
+        with ThreadPoolExecutor(4) as pool:
+            return dict(zip(names, pool.map(get, names)))
 
     def silver(self, name: str) -> DataFrame:
         return self._stored(f"silver_{name}", lambda: self.clean(name))
 
     def all_silver(self) -> dict[str, DataFrame]:
-        return {name: self.silver(name) for name in TABLES}
+        return self._each(TABLES, self.silver)
 
     def plan(self, name: str) -> DataFrame:
         """A gold table as a lazy plan over silver."""
@@ -113,3 +123,7 @@ class Lakehouse:
     def gold(self, name: str) -> DataFrame:
         """A gold table, written on first use."""
         return self._stored(f"gold_{name}", lambda: self.plan(name))
+
+    def all_gold(self) -> dict[str, DataFrame]:
+        self.all_silver()
+        return self._each(GOLD_TABLES, self.gold)

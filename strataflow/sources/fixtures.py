@@ -8,6 +8,7 @@ by arithmetic on the keys.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,11 +135,14 @@ class Fixtures:
 
     def _payments(self) -> DataFrame:
         part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+        # remainder of the price in whole cents; converting the double itself to decimal is slow
+        cents = F.floor(F.col("l_extendedprice") * 100 + 0.5) % 50_000
+        amount = (cents.cast("decimal(10,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
         return self.table("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
             F.col("l_orderkey").alias("application_id"),
             F.when(part % 400 == 0, F.lit(-1).cast("decimal(10,2)"))
-            .otherwise((F.col("l_extendedprice").cast("decimal(12,2)") % 500).cast("decimal(10,2)"))
+            .otherwise(amount)
             .alias("amount"),
             F.lit("USD").alias("currency"),
             _pick(

@@ -724,7 +724,7 @@ WHERE application_week >= DATE '1997-01-01'
 ORDER BY application_week DESC, country_name, visa_type_name, total_applications, late_completion_pct LIMIT 10)""",
     "revenue_slice": f"""
 SELECT payment_month, country_name, visa_type_name, payment_method, payment_gateway, {dbl('total_revenue')} AS total_revenue,
-       successful_payments FROM gold_revenue WHERE payment_year = 1997 AND country_name IN ('CANADA', 'FRANCE', 'JAPAN')""",
+       successful_payments FROM gold_revenue WHERE payment_year = 1997 AND country_name IN ('NATION_3', 'NATION_7', 'NATION_12')""",
     "last_event_per_application": """
 SELECT application_id, event_time, event_type FROM silver_application_events
 QUALIFY row_number() OVER (PARTITION BY application_id ORDER BY event_time DESC, event_id DESC) = 1""",

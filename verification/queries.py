@@ -26,7 +26,7 @@ from strataflow.operators import (
     union_reports,
 )
 from strataflow.plans import gold, kpis, quality, silver
-from strataflow.plans.lakehouse import GOLD_TABLES, Lakehouse
+from strataflow.plans.lakehouse import Lakehouse
 from strataflow.schemas import KEYS, RAW_SCHEMAS, TABLES
 from strataflow.session import shared_folder, tune
 from strataflow.sources.bronze import ingest_all
@@ -203,7 +203,7 @@ def _(l: Lakehouse) -> DataFrame:
 
 @query("gold_manifest")
 def _(l: Lakehouse) -> DataFrame:
-    return manifest({f"gold_{t}": l.gold(t) for t in GOLD_TABLES})
+    return manifest({f"gold_{t}": df for t, df in l.all_gold().items()})
 
 
 @query("layer_summary")
@@ -376,7 +376,7 @@ def _(l: Lakehouse) -> DataFrame:
         "payment_month", "country_name", "visa_type_name", "payment_method", "payment_gateway",
         "total_revenue", "successful_payments",
     ]
-    where = (F.col("payment_year") == 1997) & F.col("country_name").isin("CANADA", "FRANCE", "JAPAN")
+    where = (F.col("payment_year") == 1997) & F.col("country_name").isin("NATION_3", "NATION_7", "NATION_12")
     return slice_rows(l.gold("revenue_metrics"), where, columns, ["payment_month", "country_name"])
 
 
