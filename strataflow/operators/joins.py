@@ -8,24 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import dedup_latest
-from .skew import HOT_ROWS, skew_join
+from .skew import planned_bytes, skew_join
 
 # A lookup table is broadcast only when one of these bounds is proven for it.
 SMALL_BYTES = 16 * 1024 * 1024
 SMALL_ROWS = 50_000
 
 
-def _planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, which for stored tables is the file size.  Runs no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan on this client (Spark Connect)
-        return None
-
-
 def is_small(df: DataFrame, max_bytes: int = SMALL_BYTES, max_rows: int = SMALL_ROWS) -> bool:
     """Whether the table is proven small: by planned size, else by a count that stops early."""
-    size = _planned_bytes(df)
+    size = planned_bytes(df)
     if size is not None and size <= max_bytes:
         return True
     return df.limit(max_rows + 1).count() <= max_rows
@@ -80,12 +72,12 @@ def join_many(
     on: str | Sequence[str],
     spread_on: str,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    **skew,
 ) -> DataFrame:
     """Join to a table with any number of rows per key, one of which may be huge.
 
-    ``spread_on`` is unique on the right side."""
-    return skew_join(left, right, on, how, hot="right", spread_on=spread_on, hot_rows=hot_rows)
+    ``spread_on`` is unique on the right side; ``skew`` goes to :func:`skew_join`."""
+    return skew_join(left, right, on, how, hot="right", spread_on=spread_on, **skew)
 
 
 def join_first(

@@ -4,29 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more rows than this and more than 1/MAX_HOT_KEYS of the table, so
-# there can never be more than MAX_HOT_KEYS hot keys and their list is safe to broadcast.
+# A key is hot when it holds more rows than this: about what one join task should handle.
 HOT_ROWS = 1_000_000
+# At most this many of the hottest keys are split; any other key holds under 0.1 % of the rows.
 MAX_HOT_KEYS = 1_000
-# Rows without a key match nothing; they are spread over this many hash values.
-NULL_SPREAD = 4_096
+# A table of this size fits one task, so no key in it can be a problem.
+SAFE_BYTES = 256 * 1024 * 1024
+# Keys of tables above this size are counted on a sample.
+COUNT_ALL_BYTES = 4 * 1024**3
+# Bounds of the parts of one key, and of the rows without a key, which match nothing.
+MAX_PARTS = 4_096
+NULL_PARTS = 4_096
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``on`` columns and ``splits`` for each hot key: at most ``MAX_HOT_KEYS`` rows.
+def planned_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate, which for stored tables is the file size.  Runs no job."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan on this client (Spark Connect)
+        return None
 
-    Counting is one key-only aggregate with map-side partial counts, so the hot key itself
-    never travels as more than one row per input partition.
+
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
+    """The hottest keys with an estimate of their rows, at most ``MAX_HOT_KEYS``.
+
+    One aggregate over the key columns with map-side partial counts.  A large table is sampled:
+    a key with a million rows is seen in any sample this takes, and the answer only decides how
+    work is spread, never which rows the join returns.
     """
-    counts = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = F.greatest(
-        F.lit(hot_rows), F.floor(counts.agg(F.sum("_rows")).scalar() / F.lit(MAX_HOT_KEYS))
-    )
-    return counts.where(F.col("_rows") > limit).select(
-        *on, F.ceil(F.col("_rows") / limit).cast("int").alias("_splits")
+    size = planned_bytes(df) or 0
+    fraction = 1.0 if size <= COUNT_ALL_BYTES else max(COUNT_ALL_BYTES / size, 1_000 / HOT_ROWS)
+    keys = df.select(*on)
+    if fraction < 1.0:
+        keys = keys.sample(fraction=fraction, seed=17)
+    return (
+        keys.groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > F.lit(max(1, int(hot_rows * fraction))))
+        .orderBy(F.desc("_rows"))
+        .limit(MAX_HOT_KEYS)
+        .select(*on, F.ceil(F.col("_rows") / F.lit(fraction)).cast("bigint").alias("_rows"))
+        .collect()
     )
 
 
@@ -37,42 +58,52 @@ def skew_join(
     how: str,
     hot: str,
     spread_on: str,
+    probe: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    safe_bytes: int = SAFE_BYTES,
 ) -> DataFrame:
     """Inner or left join where the ``hot`` side ("left" or "right") may be dominated by few keys.
 
     Rows of a hot key on the hot side are spread over several join partitions by a hash of
     ``spread_on`` (a column unique on that side); the matching rows of the other side are
-    repeated once per part.  Rows of the hot side without a key are spread as well.  The result
-    equals the plain join row for row.
+    repeated once per part.  Rows of the hot side without a key are spread as well.  Without hot
+    keys this is the plain join.  Either way the result is the same, row for row.
+
+    ``probe`` is a cheaper table with the same keys as the hot side, to look for hot keys in.
     """
     if how not in ("inner", "left") or hot not in ("left", "right"):
         raise ValueError("how must be inner or left, hot must be left or right")
     on = [on] if isinstance(on, str) else list(on)
     wide, narrow = (left, right) if hot == "left" else (right, left)
-    hot_list = hot_keys(wide, on, hot_rows)
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
+    probe = wide if probe is None else probe
+    size = planned_bytes(probe)
+    found = [] if size is not None and size <= safe_bytes else hot_keys(probe, on, hot_rows)
+    if not found:
+        return left.join(right, on, how)
+
+    # at most MAX_HOT_KEYS rows
+    known = [
+        (*[key[c] for c in on], min(MAX_PARTS, -(-key["_rows"] // hot_rows)))
+        for key in found
+        if all(key[c] is not None for c in on)
+    ]
+    types = ", ".join(f"`{c}` {probe.schema[c].dataType.simpleString()}" for c in on)
+    hot_list = F.broadcast(probe.sparkSession.createDataFrame(known, f"{types}, _parts int"))
 
-    missing_key = F.lit(False)
+    missing = F.lit(False)
     for name in on:
-        missing_key = missing_key | F.col(name).isNull()
-    part = F.xxhash64(F.col(spread_on))
-    wide = (
-        wide.join(F.broadcast(hot_list), on, "left")
-        .withColumn(
-            "_part",
-            F.when(missing_key, F.pmod(part, F.lit(NULL_SPREAD))).otherwise(F.pmod(part, splits)),
-        )
-        .drop("_splits")
-    )
-    parts = F.sequence(F.lit(0).cast("long"), (splits - 1).cast("long"))
-    narrow = narrow.join(F.broadcast(hot_list), on, "left").withColumn("_part", F.explode(parts))
+        missing = missing | F.col(name).isNull()
+    spread, parts = F.xxhash64(F.col(spread_on)), F.coalesce(F.col("_parts"), F.lit(1))
+    part = F.when(missing, F.pmod(spread, F.lit(NULL_PARTS))).otherwise(F.pmod(spread, parts))
+    wide = wide.join(hot_list, on, "left").withColumn("_part", part).drop("_parts")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint")))
+    narrow = narrow.join(hot_list, on, "left").withColumn("_part", copies)
     keys = [*on, "_part"]
     if hot == "left":
-        return wide.join(narrow.drop("_splits"), keys, how).drop("_part")
+        return wide.join(narrow.drop("_parts"), keys, how).drop("_part")
 
     # The repeated side is the preserved one: a hot key has matches, but not every copy does.
     joined = narrow.join(wide.withColumn("_hit", F.lit(True)), keys, how)
     if how == "left":
-        joined = joined.where(F.col("_splits").isNull() | F.col("_hit"))
-    return joined.drop("_part", "_splits", "_hit")
+        joined = joined.where(F.col("_parts").isNull() | F.col("_hit"))
+    return joined.drop("_part", "_parts", "_hit")

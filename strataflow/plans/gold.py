@@ -27,7 +27,7 @@ from ..functions import (
 )
 from ..operators.grouping import first_times, pct_of_total, pct_within, top_k
 from ..operators.joins import is_small, join_dim, join_many, join_one, without_match
-from ..operators.skew import HOT_ROWS, skew_join
+from ..operators.skew import skew_join
 
 
 def _rows() -> Column:
@@ -359,7 +359,7 @@ def user_cohorts(
     passports: DataFrame,
     apps: DataFrame,
     payments: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    **skew,
 ) -> DataFrame:
     """One row per user and passport: application history, retention, spend, expatriate flag.
 
@@ -402,7 +402,7 @@ def user_cohorts(
     )
     rows = join_many(
         people, passports.select("passport_id", "user_id", "issuing_country"), "user_id", "passport_id",
-        hot_rows=hot_rows,
+        **skew,
     )
 
     def count_or_zero(name: str) -> Column:
@@ -635,7 +635,7 @@ def abandoned_carts(
     visa_types: DataFrame,
     as_of=None,
     statuses: Sequence[str] = ("Pending", "Cancelled"),
-    hot_rows: int = HOT_ROWS,
+    **skew,
 ) -> DataFrame:
     """Unfinished applications with their payment attempts: one row per application and payment,
     one row for an application without payment."""
@@ -645,7 +645,7 @@ def abandoned_carts(
     carts = abandoned_applications(apps, events, countries, visa_types, as_of, statuses)
     paid = F.when(F.col("payment_id").isNotNull(), "Has Payment").otherwise("No Payment")
     return (
-        join_many(carts, attempts, "application_id", "payment_id", hot_rows=hot_rows)
+        join_many(carts, attempts, "application_id", "payment_id", **skew)
         .withColumn("payment_status", paid)
         .drop("payment_id")
     )
@@ -725,7 +725,7 @@ def ticket_impact(
     users: DataFrame,
     reviews: DataFrame,
     as_of=None,
-    hot_rows: int = HOT_ROWS,
+    **skew,
 ) -> DataFrame:
     """Tickets with the state of their application, the user's review of it and impact flags.
     One row per ticket and review.  Tickets without an application are spread over all join
@@ -739,9 +739,9 @@ def ticket_impact(
         "review_id", "application_id", "user_id", F.col("rating").alias("user_rating"), "review_text"
     )
     people = users.select("user_id", F.col("country").alias("user_country"))
-    rows = skew_join(tickets, linked, "application_id", "left", "left", "ticket_id", hot_rows)
-    rows = skew_join(rows, people, "user_id", "left", "left", "ticket_id", hot_rows)
-    rows = join_many(rows, opinions, ["application_id", "user_id"], "review_id", hot_rows=hot_rows)
+    rows = skew_join(tickets, linked, "application_id", "left", "left", "ticket_id", **skew)
+    rows = skew_join(rows, people, "user_id", "left", "left", "ticket_id", probe=tickets, **skew)
+    rows = join_many(rows, opinions, ["application_id", "user_id"], "review_id", **skew)
 
     state, made = F.col("linked_application_status"), F.col("created_at")
     finished = F.col("completed_date").cast("timestamp_ntz")

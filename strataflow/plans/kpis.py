@@ -21,7 +21,7 @@ from ..functions import (
 from ..operators.grouping import pct_of_total, top_k_with_other, trend
 from ..operators.joins import join_dim
 from ..operators.metric_view import MetricView, plain_dims
-from ..operators.skew import HOT_ROWS, skew_join
+from ..operators.skew import skew_join
 
 # Statuses counted as abandoned.
 ABANDONED = ("Pending", "Cancelled")
@@ -286,7 +286,7 @@ def recovery_targets(carts: DataFrame, min_fee, as_of=None, reminders: Iterable[
     )
 
 
-def retry_due(payments: DataFrame, as_of=None, after_hours: int = 24, hot_rows: int = HOT_ROWS) -> DataFrame:
+def retry_due(payments: DataFrame, as_of=None, after_hours: int = 24, **skew) -> DataFrame:
     """Failed payments with no later success of the same application and a day gone by."""
     last_success = payments.where("is_successful").groupBy("application_id").agg(
         F.max("payment_time").alias("last_success")
@@ -294,7 +294,7 @@ def retry_due(payments: DataFrame, as_of=None, after_hours: int = 24, hot_rows:
     failed = payments.where(~F.col("is_successful")).select(
         "payment_id", "application_id", "amount", "payment_method", "payment_gateway", "payment_time"
     )
-    rows = skew_join(failed, last_success, "application_id", "left", "left", "payment_id", hot_rows)
+    rows = skew_join(failed, last_success, "application_id", "left", "left", "payment_id", **skew)
     waited = hours_elapsed("payment_time", as_time(as_of))
     later = F.coalesce(F.col("last_success") > F.col("payment_time"), F.lit(False))
     return rows.where(~later & (waited >= after_hours)).select(

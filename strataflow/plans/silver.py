@@ -24,7 +24,7 @@ from ..functions import (
     pct,
 )
 from ..operators.dedup import dedup_any, dedup_latest
-from ..operators.skew import HOT_ROWS, skew_join
+from ..operators.skew import skew_join
 from ..schemas import KEYS, RAW_SCHEMAS
 
 # Band limits and labels.
@@ -214,7 +214,7 @@ def silver_rates(documents: DataFrame, tickets: DataFrame) -> DataFrame:
     return docs.unionByName(tick)
 
 
-def flag_payment_retry(payments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flag_payment_retry(payments: DataFrame, **skew) -> DataFrame:
     """``attempt_is_retry``: an earlier attempt exists for the same application;
     ``retry_after_failure``: an earlier attempt of that application failed.
 
@@ -227,7 +227,7 @@ def flag_payment_retry(payments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFra
         F.min(attempt).alias("_first"),
         F.min(F.when(F.col("status") == "Failed", attempt)).alias("_first_failed"),
     )
-    joined = skew_join(payments, firsts, "application_id", "left", "left", "payment_id", hot_rows)
+    joined = skew_join(payments, firsts, "application_id", "left", "left", "payment_id", **skew)
     return joined.select(
         *payments.columns,
         flag(attempt > F.col("_first")).alias("attempt_is_retry"),
