@@ -31,12 +31,12 @@ def planned_bytes(df: DataFrame) -> int | None:
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
     """The hottest keys with an estimate of their rows, at most ``MAX_HOT_KEYS``.
 
-    One aggregate over the key columns with map-side partial counts.  A large table is sampled:
-    a key with a million rows is seen in any sample this takes, and the answer only decides how
-    work is spread, never which rows the join returns.
+    One aggregate over the key columns with map-side partial counts.  A large table is sampled,
+    so that a hot key still shows a thousand rows or more; the answer only decides how work is
+    spread, never which rows the join returns.
     """
     size = planned_bytes(df) or 0
-    fraction = 1.0 if size <= COUNT_ALL_BYTES else max(COUNT_ALL_BYTES / size, 1_000 / HOT_ROWS)
+    fraction = 1.0 if size <= COUNT_ALL_BYTES else min(1.0, max(COUNT_ALL_BYTES / size, 1_000 / hot_rows))
     keys = df.select(*on)
     if fraction < 1.0:
         keys = keys.sample(fraction=fraction, seed=17)
