@@ -118,11 +118,22 @@ def stage_dropoff(funnel: DataFrame) -> DataFrame:
 # --- payment gap --------------------------------------------------------------------------
 
 
-def payment_gap_by_status(apps: DataFrame, payments: DataFrame) -> DataFrame:
+def unpaid_applications(apps: DataFrame, payments: DataFrame) -> DataFrame:
+    """Applications without any payment row.
+
+    The reports below each use this several times (rows, group counts, total).  Anti joins of
+    facts are dear, so store the result and pass it as ``unpaid``; without it they compute it.
+    """
+    return without_match(apps, payments, "application_id")
+
+
+def payment_gap_by_status(
+    apps: DataFrame, payments: DataFrame, unpaid: DataFrame | None = None
+) -> DataFrame:
     """Applications without any payment row, by status, as a share of the whole gap."""
+    gap = unpaid_applications(apps, payments) if unpaid is None else unpaid
     grouped = (
-        without_match(apps, payments, "application_id")
-        .groupBy("status", "status_category")
+        gap.groupBy("status", "status_category")
         .agg(
             _rows().alias("applications_without_payment"),
             count_where(F.col("is_completed")).alias("completed_count"),
@@ -140,16 +151,17 @@ def payment_gap_by_status(apps: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def payment_gap_by_visa_type(
-    apps: DataFrame, payments: DataFrame, countries: DataFrame, visa_types: DataFrame
+    apps: DataFrame,
+    payments: DataFrame,
+    countries: DataFrame,
+    visa_types: DataFrame,
+    unpaid: DataFrame | None = None,
 ) -> DataFrame:
     """The gap by status, visa type and fee, with the share of the whole gap and of the status.
 
     The whole gap counts every application without payment, also those of an unknown country."""
-    gap = (
-        without_match(apps, payments, "application_id")
-        .groupBy("status", "visa_type_id", "country_id")
-        .agg(_rows().alias("n"))
-    )
+    rows = unpaid_applications(apps, payments) if unpaid is None else unpaid
+    gap = rows.groupBy("status", "visa_type_id", "country_id").agg(_rows().alias("n"))
     whole = gap.agg(F.sum("n")).scalar()
     named = join_dim(gap, visa_types, "visa_type_id", ["visa_type_name"])
     named = join_dim(named, countries, "country_id", ["visa_fee_usd"])
@@ -164,7 +176,12 @@ def payment_gap_by_visa_type(
 
 
 def payment_reconciliation(
-    apps: DataFrame, payments: DataFrame, countries: DataFrame, visa_types: DataFrame, as_of=None
+    apps: DataFrame,
+    payments: DataFrame,
+    countries: DataFrame,
+    visa_types: DataFrame,
+    as_of=None,
+    unpaid: DataFrame | None = None,
 ) -> DataFrame:
     """Approved applications with no payment row at all, with fee, concentration and age.
 
@@ -172,7 +189,9 @@ def payment_reconciliation(
     of windows over it: a window by country would sort a third of the gap in one task if one
     country holds a third.
     """
-    gap = without_match(apps.where(F.col("status") == "Approved"), payments, "application_id").select(
+    approved = F.col("status") == "Approved"
+    gap = unpaid.where(approved) if unpaid is not None else unpaid_applications(apps.where(approved), payments)
+    gap = gap.select(
         "application_id", "user_id", "country_id", "visa_type_id", "status",
         F.col("completed_date").alias("approved_at"), "application_date", "application_year",
         "application_month", "source", "platform",

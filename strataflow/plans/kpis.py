@@ -168,15 +168,13 @@ def kpi_status(df: DataFrame, late: str, days: str, health: str) -> DataFrame:
 
 def ops_kpis(apps: DataFrame, payments: DataFrame) -> DataFrame:
     """Revenue per application and applications in progress."""
-    revenue = payments.where("is_successful").agg(F.sum("amount")).scalar()
-    return apps.agg(
-        _rows().alias("applications"), count_where(F.col("status") == "Pending").alias("in_progress")
-    ).select(
-        "applications", "in_progress",
-        F.coalesce(revenue, F.lit(0)).alias("revenue"),
-        F.round(
-            F.try_divide(revenue.cast("decimal(24,2)"), F.col("applications").cast("decimal(13,0)")), 2
-        ).cast("double").alias("revenue_per_application"),
+    revenue = payments.where("is_successful").agg(F.coalesce(F.sum("amount"), F.lit(0))).scalar()
+    return (
+        apps.agg(
+            _rows().alias("applications"), count_where(F.col("status") == "Pending").alias("in_progress")
+        )
+        .withColumn("revenue", revenue)
+        .withColumn("revenue_per_application", exact_avg(F.col("revenue"), F.col("applications")))
     )
 
 

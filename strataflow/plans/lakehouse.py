@@ -92,8 +92,10 @@ class Lakehouse:
                 s("applications"), s("application_events"), s("payments")
             ),
             "payment_reconciliation": lambda: gold.payment_reconciliation(
-                s("applications"), s("payments"), s("countries"), s("visa_types"), self.as_of
+                s("applications"), s("payments"), s("countries"), s("visa_types"), self.as_of,
+                self.gold("unpaid_applications"),
             ),
+            "unpaid_applications": lambda: gold.unpaid_applications(s("applications"), s("payments")),
             "revenue_metrics": lambda: gold.revenue_metrics(
                 s("payments"), s("applications"), s("countries"), s("visa_types")
             ),

@@ -105,8 +105,8 @@ def _(l: Lakehouse) -> DataFrame:
     source = l.spark.read.parquet(f"{_sf_dir(l)}/events.parquet")
     for _run in range(2):  # the second run finds nothing new
         ingest_incremental(
-            l.spark, _sf_dir(l), f"{folder}/bronze_events", f"{folder}/checkpoint", source.schema,
-            source_name="raw.raw_events", files="events.parquet",
+            l.spark, f"{_sf_dir(l)}/events*.parquet", f"{folder}/bronze_events", f"{folder}/checkpoint",
+            source.schema, source_name="raw.raw_events",
         )
     loaded = l.spark.read.parquet(f"{folder}/bronze_events")
     return loaded.groupBy("event_type", "bronze_source_table").agg(
@@ -293,13 +293,17 @@ def _(l: Lakehouse) -> DataFrame:
 
 @query("payment_gap_by_status")
 def _(l: Lakehouse) -> DataFrame:
-    return gold.payment_gap_by_status(l.silver("applications"), l.silver("payments"))
+    return gold.payment_gap_by_status(
+        l.silver("applications"), l.silver("payments"), l.gold("unpaid_applications")
+    )
 
 
 @query("payment_gap_by_visa_type")
 def _(l: Lakehouse) -> DataFrame:
     s = l.silver
-    return gold.payment_gap_by_visa_type(s("applications"), s("payments"), s("countries"), s("visa_types"))
+    return gold.payment_gap_by_visa_type(
+        s("applications"), s("payments"), s("countries"), s("visa_types"), l.gold("unpaid_applications")
+    )
 
 
 @query("approved_payment_breakdown")
