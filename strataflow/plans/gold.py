@@ -370,6 +370,41 @@ def grain_density(
     )
 
 
+def validation_report(breakdown: DataFrame, density: DataFrame) -> DataFrame:
+    """Payment breakdown and grain of the revenue cube as readable (check, metric, value) rows.
+
+    Takes the results of :func:`approved_payment_breakdown` and :func:`grain_density`."""
+
+    def text(*parts: str | Column) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    def members(name: str) -> Column:
+        return F.col(f"distinct_{name}")
+
+    gap = breakdown.select(
+        F.lit("Payment Gap Breakdown").alias("validation_check"),
+        F.col("payment_category").alias("metric"),
+        text(F.col("app_count"), " approved apps").alias("value"),
+    )
+    size = text(
+        members("countries"), " countries × ", members("visa_types"), " visa types × ",
+        members("payment_methods"), " methods × ", members("payment_gateways"), " gateways × ",
+        members("year_months"), " months",
+    )
+    present = text(
+        F.col("total_rows"), " rows / ", F.col("possible_rows"), " possible = ", F.col("density_pct"),
+        "% (sparse as expected)",
+    )
+    entries = [
+        F.struct(F.lit(metric).alias("metric"), value.alias("value"))
+        for metric, value in (("Dimensions", size), ("Data density", present))
+    ]
+    grain = density.select(F.explode(F.array(*entries)).alias("e")).select(
+        F.lit("Revenue Metrics Grain").alias("validation_check"), "e.*"
+    )
+    return gap.unionByName(grain)
+
+
 # --- users --------------------------------------------------------------------------------
 
 

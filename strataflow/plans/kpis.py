@@ -212,6 +212,7 @@ def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .agg(
             _rows().alias("applications"),
             rounded_avg("s.hours").alias("avg_hours"),
+            F.percentile_approx("s.hours", 0.5).alias("median_hours"),
             F.min("s.hours").alias("min_hours"),
             F.max("s.hours").alias("max_hours"),
         )

@@ -138,6 +138,7 @@ def layer_manifest(spark: SparkSession, layer: str, catalog: str | None = None)
         "table_name",
         "row_count",
         F.lit("parquet").alias("storage_format"),
+        F.lit("catalog table").alias("storage_type"),
         F.lit("Persisted").alias("status"),
         F.lit(schema).alias("schema_location"),
     )

@@ -712,6 +712,20 @@ WITH d AS (SELECT count(*) AS total_rows, count(DISTINCT country_id) AS distinct
 SELECT *, distinct_countries * distinct_visa_types * distinct_payment_methods * distinct_payment_gateways * distinct_year_months AS possible_rows,
        {share('total_rows', 'distinct_countries * distinct_visa_types * distinct_payment_methods * distinct_payment_gateways * distinct_year_months', 1)} AS density_pct
 FROM d""",
+    "validation_report": f"""
+WITH per AS (SELECT a.application_id, count(*) AS joined, count(p.payment_id) AS n, {n_if('p.is_successful')} AS ok
+             FROM silver_applications a LEFT JOIN silver_payments p ON p.application_id = a.application_id
+             WHERE a.status = 'Approved' GROUP BY 1),
+d AS (SELECT count(*) AS n, count(DISTINCT country_id) AS c, count(DISTINCT visa_type_id) AS v, count(DISTINCT payment_method) AS m,
+             count(DISTINCT payment_gateway) AS g, count(DISTINCT payment_year * 100 + payment_month) AS t FROM gold_revenue)
+SELECT 'Payment Gap Breakdown' AS validation_check,
+       CASE WHEN n = 0 THEN 'No payment record' WHEN ok = 0 THEN 'Failed payment attempts only' ELSE 'Has successful payment' END AS metric,
+       CAST(sum(joined) AS VARCHAR) || ' approved apps' AS value FROM per GROUP BY 2
+UNION ALL SELECT 'Revenue Metrics Grain', 'Dimensions',
+       format('{{}} countries × {{}} visa types × {{}} methods × {{}} gateways × {{}} months', c, v, m, g, t) FROM d
+UNION ALL SELECT 'Revenue Metrics Grain', 'Data density',
+       format('{{}} rows / {{}} possible = {{}}% (sparse as expected)', n, c * v * m * g * t,
+              {txt(share('n', '(c * v * m * g * t)', 1))}) FROM d""",
     "operational_weekly": f"""
 SELECT {txt("CAST(date_trunc('week', application_date) AS DATE)")} AS application_week, country_name, visa_type_name,
        count(*) AS total_applications, {r('avg(processing_days_actual)')} AS avg_processing_days,
@@ -798,7 +812,7 @@ SELECT country_name, count(*) AS cells, {dbl('sum(total_revenue)')} AS total_rev
         )
     )
     + f""")
-SELECT visa_type_id, step, count(h) AS applications, {r('avg(h)')} AS avg_hours, min(h) AS min_hours, max(h) AS max_hours
+SELECT visa_type_id, step, count(h) AS applications, {r('avg(h)')} AS avg_hours, quantile_disc(h, 0.5) AS median_hours, min(h) AS min_hours, max(h) AS max_hours
 FROM steps WHERE h IS NOT NULL GROUP BY 1, 2""",
     "approval_trend": f"""
 SELECT {txt("CAST(date_trunc('month', application_date) AS DATE)")} AS application_month_date, count(*) AS applications,

@@ -91,12 +91,14 @@ def _(l: Lakehouse) -> DataFrame:
 
 @query("bronze_source_files")
 def _(l: Lakehouse) -> DataFrame:
-    scans = [
-        add_source_file(l.spark.read.parquet(f"{_sf_dir(l)}/{t}.parquet")).select("source_file")
+    per_file = [
+        add_source_file(l.spark.read.parquet(f"{_sf_dir(l)}/{t}.parquet"))
+        .groupBy("source_file")
+        .agg(F.count(F.lit(1)).alias("rows"))
         for t in ("customer", "orders", "lineitem", "events")
     ]
     name = F.regexp_extract("source_file", r"([a-z]+)\.parquet", 1).alias("source_table")
-    return union_reports(*scans).groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
+    return union_reports(*per_file).groupBy(name).agg(F.sum("rows").alias("rows"))
 
 
 @query("incremental_load")
@@ -349,6 +351,14 @@ def _(l: Lakehouse) -> DataFrame:
     return gold.grain_density(l.gold("revenue_metrics"))
 
 
+@query("validation_report")
+def _(l: Lakehouse) -> DataFrame:
+    return gold.validation_report(
+        gold.approved_payment_breakdown(l.silver("applications"), l.silver("payments")),
+        gold.grain_density(l.gold("revenue_metrics")),
+    )
+
+
 @query("operational_metrics_rollup")
 def _(l: Lakehouse) -> DataFrame:
     s = l.silver
