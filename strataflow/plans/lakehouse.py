@@ -9,12 +9,12 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES
-from ..session import shared_folder
+from ..session import shared_folder, store
 from . import gold
 from .quality import dq_log
 from .silver import clean_table
 
-# Gold tables other results are computed from.
+# The gold tables users read.
 GOLD_TABLES = (
     "application_funnel",
     "payment_reconciliation",
@@ -28,6 +28,50 @@ GOLD_TABLES = (
 )
 
 
+def gold_plan(
+    name: str,
+    silver: Callable[[str], DataFrame],
+    as_of=None,
+    unpaid: Callable[[], DataFrame | None] = lambda: None,
+) -> DataFrame:
+    """A gold table over silver tables given by name.
+
+    ``unpaid`` supplies a stored form of ``unpaid_applications``, if there is one."""
+    s = silver
+    plans: dict[str, Callable[[], DataFrame]] = {
+        "application_funnel": lambda: gold.application_funnel(
+            s("applications"), s("application_events"), s("payments")
+        ),
+        "unpaid_applications": lambda: gold.unpaid_applications(s("applications"), s("payments")),
+        "payment_reconciliation": lambda: gold.payment_reconciliation(
+            s("applications"), s("payments"), s("countries"), s("visa_types"), as_of, unpaid()
+        ),
+        "revenue_metrics": lambda: gold.revenue_metrics(
+            s("payments"), s("applications"), s("countries"), s("visa_types")
+        ),
+        "user_cohorts": lambda: gold.user_cohorts(
+            s("users"), s("passports"), s("applications"), s("payments")
+        ),
+        "operational_metrics": lambda: gold.operational_metrics(
+            s("applications"), s("documents"), s("support_tickets"), s("countries"), s("visa_types")
+        ),
+        "abandoned_cart_analysis": lambda: gold.abandoned_carts(
+            s("applications"), s("application_events"), s("payments"), s("countries"), s("visa_types"), as_of
+        ),
+        "abandoned_applications": lambda: gold.abandoned_applications(
+            s("applications"), s("application_events"), s("countries"), s("visa_types"), as_of
+        ),
+        "document_friction": lambda: gold.document_friction(
+            s("applications"), s("documents"), s("countries"), s("visa_types")
+        ),
+        "support_ticket_impact": lambda: gold.ticket_impact(
+            s("support_tickets"), s("applications"), s("users"), s("reviews"), as_of
+        ),
+        "data_quality_log": lambda: dq_log(s("users"), s("applications"), s("payments")),
+    }
+    return plans[name]()
+
+
 class Lakehouse:
     """Lazy access to silver and gold.
 
@@ -67,10 +111,7 @@ class Lakehouse:
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with self._locks.setdefault(name, Lock()):
             if name not in self._written:
-                path = f"{self.folder}/{name}"
-                df = build()
-                df.write.mode("overwrite").parquet(path)
-                self._written[name] = self.spark.read.schema(df.schema).parquet(path)
+                self._written[name] = store(build(), f"{self.folder}/{name}")
             return self._written[name]
 
     def _each(self, names: Sequence[str], get: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
@@ -86,41 +127,7 @@ class Lakehouse:
 
     def plan(self, name: str) -> DataFrame:
         """A gold table as a lazy plan over silver."""
-        s = self.silver
-        plans: dict[str, Callable[[], DataFrame]] = {
-            "application_funnel": lambda: gold.application_funnel(
-                s("applications"), s("application_events"), s("payments")
-            ),
-            "payment_reconciliation": lambda: gold.payment_reconciliation(
-                s("applications"), s("payments"), s("countries"), s("visa_types"), self.as_of,
-                self.gold("unpaid_applications"),
-            ),
-            "unpaid_applications": lambda: gold.unpaid_applications(s("applications"), s("payments")),
-            "revenue_metrics": lambda: gold.revenue_metrics(
-                s("payments"), s("applications"), s("countries"), s("visa_types")
-            ),
-            "user_cohorts": lambda: gold.user_cohorts(
-                s("users"), s("passports"), s("applications"), s("payments")
-            ),
-            "operational_metrics": lambda: gold.operational_metrics(
-                s("applications"), s("documents"), s("support_tickets"), s("countries"), s("visa_types")
-            ),
-            "abandoned_cart_analysis": lambda: gold.abandoned_carts(
-                s("applications"), s("application_events"), s("payments"), s("countries"),
-                s("visa_types"), self.as_of,
-            ),
-            "abandoned_applications": lambda: gold.abandoned_applications(
-                s("applications"), s("application_events"), s("countries"), s("visa_types"), self.as_of
-            ),
-            "document_friction": lambda: gold.document_friction(
-                s("applications"), s("documents"), s("countries"), s("visa_types")
-            ),
-            "support_ticket_impact": lambda: gold.ticket_impact(
-                s("support_tickets"), s("applications"), s("users"), s("reviews"), self.as_of
-            ),
-            "data_quality_log": lambda: dq_log(s("users"), s("applications"), s("payments")),
-        }
-        return plans[name]()
+        return gold_plan(name, self.silver, self.as_of, lambda: self.gold("unpaid_applications"))
 
     def gold(self, name: str) -> DataFrame:
         """A gold table, written on first use."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings.  AQE splits skewed join partitions and re-plans on measured sizes; the
 # forced variant lets it do so even when that costs one more shuffle downstream.
@@ -61,3 +61,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="strataflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/strataflow/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a result that several plans share, and return the stored form.
+
+    This cuts the lineage: whatever is built on the result scans files that survive a lost
+    executor, reads only the columns it needs and knows the true size."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

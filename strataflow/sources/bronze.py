@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES
+from .batch import write_each
 from .catalog import add_audit, ensure_schema, table_name, write_table
 
-RESULT_SCHEMA = "table string, success boolean, rows bigint, error string"
-
 
 def copy_raw_to_bronze(
     spark: SparkSession,
@@ -41,21 +39,12 @@ def ingest_all(
     folder: str | None = None,
     at_once: int = 4,
 ) -> DataFrame:
-    """Copy a list of tables; one result row per table with rows or the error.
-
-    A failing table does not stop the others, but its error is reported.  Several copies run at
-    the same time, so small tables fill the gaps between large ones.
-    """
+    """Copy a list of tables; one result row per table with rows or the error."""
     ensure_schema(spark, "bronze", catalog)
     now = datetime.now()
 
-    def run(table: str) -> tuple[str, bool, int, str | None]:
-        try:
-            source = None if sources is None else sources[table]
-            return table, True, copy_raw_to_bronze(spark, table, mode, now, source, catalog, folder), None
-        except Exception as error:  # reported per table
-            return table, False, 0, f"{type(error).__name__}: {str(error).splitlines()[0]}"
+    def copy(table: str) -> int:
+        source = None if sources is None else sources[table]
+        return copy_raw_to_bronze(spark, table, mode, now, source, catalog, folder)
 
-    with ThreadPoolExecutor(at_once) as pool:
-        results = list(pool.map(run, tables))
-    return spark.createDataFrame(results, RESULT_SCHEMA)
+    return write_each(spark, tables, copy, at_once)

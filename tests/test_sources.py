@@ -119,3 +119,25 @@ def test_batch_high_water_mark(spark):
     assert rows(ingest_new_rows(source, source.where("at <= 20"), "at").select("id")) == [(3,)]
     assert ingest_new_rows(source, source.limit(0), "at").count() == 3
     assert ingest_new_rows(source, None, "at").count() == 3
+
+
+def test_full_pipeline_equals_the_lakehouse(spark, small_lake):
+    from strataflow.plans.lakehouse import GOLD_TABLES
+    from strataflow.plans.pipeline import build_bronze_layer, build_gold_layer, build_silver_layer
+    from verification.queries import AS_OF
+
+    src.ensure_schema(spark, "raw")
+    for name in TABLES:
+        src.write_table(small_lake.raw(name), src.table_name("raw", name))
+    order = small_lake.payment_order
+    bronze = build_bronze_layer(spark)
+    silver = build_silver_layer(spark, as_of=AS_OF, payment_order=order)
+    gold = build_gold_layer(spark, as_of=AS_OF)
+    assert [r["error"] for r in bronze.union(silver).union(gold).collect()] == [None] * (2 * len(TABLES) + len(GOLD_TABLES))
+    assert {r["table"]: r["rows"] for r in silver.collect()} == {t: df.count() for t, df in small_lake.all_silver().items()}
+    for name in GOLD_TABLES:
+        stored = spark.table(f"gold.gold_{name}").drop("gold_created_timestamp")
+        plan = small_lake.plan(name)
+        assert stored.columns == plan.columns
+        assert stored.exceptAll(plan).count() == 0 and plan.exceptAll(stored).count() == 0
+    assert src.layer_manifest(spark, "gold").count() >= len(GOLD_TABLES)
