@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,11 @@ def local_session(
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="strataflow-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for ``purpose`` below the folder named by ``spark.checkpoint.dir``.
 
@@ -58,8 +64,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="strataflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/strataflow/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from .columns import OPTIONAL_NUMBERS
+
 AS_OF = "TIMESTAMP '2001-08-07 00:00:00'"
 EMAIL = r"'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$'"
 
@@ -864,6 +866,8 @@ def oracles() -> dict[str, str]:
     for name, body in QUERIES.items():
         chosen: list[str] = []
         _needed(body, chosen)
+        optional = ", ".join(f"{dbl(c)} AS {c}" for c in OPTIONAL_NUMBERS.get(name, ()))
+        columns = f"* REPLACE ({optional})" if optional else "*"
         head = ",\n".join(f"{part} AS ({PARTS[part]})" for part in chosen)
-        result[name] = f"WITH {head}\nSELECT * FROM ({body})" if chosen else body
+        result[name] = f"{f'WITH {head}' if head else ''}\nSELECT {columns} FROM ({body})".strip()
     return result

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,8 @@ from strataflow.sources.catalog import add_source_file, layer_summary, manifest
 from strataflow.sources.fixtures import PAYMENT_ORDER, Fixtures
 from strataflow.streaming import ingest_incremental
 
+from .columns import OPTIONAL_NUMBERS
+
 AS_OF = datetime(2001, 8, 7)
 
 _LAKES: dict[tuple[str, str], Lakehouse] = {}
@@ -48,12 +50,12 @@ def lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return _LAKES[key]
 
 
-def plain(df: DataFrame) -> DataFrame:
+def plain(df: DataFrame, as_double: Sequence[str] = ()) -> DataFrame:
     """Columns in types that two engines show alike: decimals as double, dates as text."""
     columns = []
     for field in df.schema:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
+        if isinstance(field.dataType, T.DecimalType) or field.name in as_double:
             column = column.cast("double").alias(field.name)
         elif isinstance(field.dataType, T.DateType):
             column = column.cast("string").alias(field.name)
@@ -73,10 +75,11 @@ def query(name: str):
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Callable[[Lakehouse], DataFrame]):
-        return lambda spark, sf_dir: plain(build(lake(spark, sf_dir)))
+    def bind(name: str, build: Callable[[Lakehouse], DataFrame]):
+        as_double = OPTIONAL_NUMBERS.get(name, ())
+        return lambda spark, sf_dir: plain(build(lake(spark, sf_dir)), as_double)
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    return {name: bind(name, build) for name, build in _QUERIES.items()}
 
 
 # --- bronze -------------------------------------------------------------------------------
