@@ -7,8 +7,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sizing import planned_bytes
 from .dedup import dedup_latest
-from .skew import planned_bytes, skew_join
+from .skew import skew_join
 
 # A lookup table is broadcast only when one of these bounds is proven for it.
 SMALL_BYTES = 16 * 1024 * 1024

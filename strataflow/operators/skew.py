@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..sizing import planned_bytes
+
 # A key is hot when it holds more rows than this: about what one join task should handle.
 HOT_ROWS = 1_000_000
 # At most this many of the hottest keys are split; any other key holds under 0.1 % of the rows.
@@ -20,14 +22,6 @@ MAX_PARTS = 4_096
 NULL_PARTS = 4_096
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, which for stored tables is the file size.  Runs no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan on this client (Spark Connect)
-        return None
-
-
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
     """The hottest keys with an estimate of their rows, at most ``MAX_HOT_KEYS``.
 

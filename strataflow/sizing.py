@@ -1,0 +1,47 @@
+"""Sizes known before a plan runs, and what follows from them.
+
+All figures are Catalyst statistics, which for files are the file sizes.  No job is run.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Shuffle partitions: aim at this much data each.  Parquet grows when it is decoded, hence the
+# factor.  Adaptive execution merges partitions that turn out small, so a number that is too high
+# costs little; one that is too low makes every task spill.
+PARTITION_BYTES = 256 * 1024 * 1024
+DECODED_FACTOR = 3
+MAX_PARTITIONS = 100_000
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Size of the result as the optimizer estimates it; an upper bound for filters and joins."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan on this client (Spark Connect)
+        return None
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of the tables the plan reads."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:  # no JVM plan on this client (Spark Connect)
+        return 0
+
+
+def size_shuffles(spark: SparkSession, tables: Iterable[DataFrame]) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the largest of the tables.
+
+    The default of 200 would put hundreds of gigabytes into one task at 100 TB.  The setting is
+    never lowered."""
+    largest = max((scanned_bytes(df) for df in tables), default=0)
+    wanted = min(MAX_PARTITIONS, -(-largest * DECODED_FACTOR // PARTITION_BYTES))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)

@@ -158,3 +158,22 @@ def test_metric_view_reaggregates(spark):
     assert view.query(where="d = 'a'").first() == (20.0, 20)
     with pytest.raises(KeyError):
         view.query(["nope"])
+
+
+def test_shuffle_partitions_follow_the_scanned_bytes(spark, tmp_path, monkeypatch):
+    from strataflow import sizing
+
+    path = str(tmp_path / "t")
+    spark.range(100_000).write.parquet(path)
+    table = spark.read.parquet(path)
+    size = sizing.scanned_bytes(table)
+    assert 100_000 < size < 2_000_000
+    assert sizing.scanned_bytes(table.join(table.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))) == 2 * size
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert sizing.size_shuffles(spark, [table]) == int(before)  # never lowered
+        monkeypatch.setattr(sizing, "PARTITION_BYTES", size // 5)
+        assert sizing.size_shuffles(spark, [table]) >= 15
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 15
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
