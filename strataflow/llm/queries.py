@@ -4,25 +4,75 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import exact_dedup, url_rules
+from strataflow.llm import bpe, chat, decontaminate, exact_dedup, pii, url_rules
 from strataflow.llm.common import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"  # a text that holds the template's own marks
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(hard).alias("text"),
+    )
+    return chat.read_back(chat.format_chats(chats.unionByName(extra)))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def listed(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    counts = [number(kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    part = F.col(decontaminate.found_column(docs))
+    return found.select(
+        "doc_id",
+        part["n_words"].alias("n_words"),
+        part["n_hit"].alias("n_hit"),
+        F.size(part["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(part["items"], ","), 256).alias("items_sha256"),
+        part["contaminated"].alias("contaminated"),
+    )
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_rules.judge_urls(pages, url_rules.rule_table(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op6_url_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 SQL = {
@@ -37,6 +87,36 @@ SQL = {
             FROM d WINDOW w AS (PARTITION BY squeezed ORDER BY n DESC, doc_id))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(squeezed) AS text_sha256 FROM g
     """,
+    "op5_decontamination": r"""
+        WITH b AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        k AS (
+            SELECT DISTINCT item, least(len(w), 13) AS n, list_slice(w, i + 1, i + 13) AS v
+            FROM b, unnest(range(0, greatest(len(w) - 13, 0) + 1)) AS t(i) WHERE len(w) > 0),
+        d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        lengths AS (SELECT DISTINCT n FROM k),
+        p AS (
+            SELECT r, i, n, list_slice(w, i + 1, i + n) AS v
+            FROM d, lengths, unnest(range(0, len(w) - n + 1)) AS t(i) WHERE len(w) >= n),
+        h AS (SELECT r, i, p.n, item FROM p JOIN k ON k.n = p.n AND k.v = p.v),
+        c AS (
+            SELECT r, count(DISTINCT j) AS n_hit
+            FROM (SELECT DISTINCT r, i, n FROM h), unnest(range(i, i + n)) AS t(j) GROUP BY r),
+        f AS (
+            SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+            FROM h GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN c USING (r) LEFT JOIN f USING (r)
+    """,
     "op6_url_rules": r"""
         WITH u AS (
             SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
