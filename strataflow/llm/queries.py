@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat, decontaminate, exact_dedup, pii, url_rules
+from strataflow.llm import bpe, chat, decontaminate, exact_dedup, near_dedup, pii, url_rules
 from strataflow.llm.common import table
 
 
@@ -68,7 +68,12 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules)
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op9_near_dedup)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
