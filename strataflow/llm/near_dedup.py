@@ -8,8 +8,8 @@ the index once for every choice of ``WIDTH - ERRORS`` of its symbols, so all pai
 about 10^-7.  Pairs that meet are confirmed on their full shingle sets.
 
 No group is ever expanded into all its pairs.  Copies of one word sequence are one node.  Under each
-key the nodes are first compared with one of them, its centre; linked nodes become components; a second
-round takes other centres.  Only nodes still outside their key's largest component are then compared
+key the nodes are first compared with one of them, its centre; linked nodes become components; further
+rounds take other centres.  Only nodes still outside their key's largest component are then compared
 with the others of the key, which makes the search complete: whatever meets under a key is either
 compared or known to be connected.
 """
@@ -34,8 +34,8 @@ CHUNKS, WIDTH, ERRORS, BITS = 12, 5, 1, 16
 SIZE = CHUNKS * WIDTH
 MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Signatures that differ in more symbols are not compared in full: at the similarity bound that
-#: loses about one pair in 10^8.
-FAR = SIZE // 2
+#: loses less than one pair in 10^6.
+FAR = 28
 
 _rng = np.random.default_rng(20_11)
 _FACTORS = _rng.integers(0, 1 << 63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -209,9 +209,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
 
 
-def _with_centre(entries: DataFrame, salt: int, percent: int) -> DataFrame:
-    """Pairs of each node of a key and the key's centre: the node whose hash is the smallest."""
-    rank = F.xxhash64("node", F.lit(salt))
+def _with_centre(entries: DataFrame, percent: int, *salt: str) -> DataFrame:
+    """Pairs of each node of a key and the key's centre: the node whose hash is the smallest.
+
+    Without salt, keys with common nodes mostly share a centre: few pairs that link most copies.
+    Salted by the key, each key has a centre of its own, so a node meets as many centres as it has keys."""
+    rank = F.xxhash64("node", *[F.lit(x) if x.isdigit() else F.col(x) for x in salt])
     centre = entries.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), rank).alias("c"))
     pairs = entries.join(centre, "key").where("root <> c.root").select(
         "node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("m")
@@ -278,8 +281,9 @@ def near_groups(
     roots = entries.sparkSession.createDataFrame([], "node long, root long")
     found, compared = [], []
     for k, pairs_of in enumerate((
-        lambda e: _with_centre(e, 0, percent),
-        lambda e: _with_centre(e, 1, percent),
+        lambda e: _with_centre(e, percent),
+        lambda e: _with_centre(e, percent, "key"),
+        lambda e: _with_centre(e, percent, "key", "1"),
         lambda e: _rest(e, percent),
     )):
         pairs = pairs_of(_apart(entries, roots))

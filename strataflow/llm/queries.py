@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat, decontaminate, exact_dedup, near_dedup, pii, url_rules
+from strataflow.llm import bpe, chat, decontaminate, exact_dedup, language, maxent_lm, near_dedup, pii, url_rules
 from strataflow.llm.common import table
 
 
@@ -68,12 +68,26 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = language.identify(docs, language.fit(docs), declared="lang", host="source")
+    part = F.col("language")
+    return judged.select(
+        "doc_id", part["best"].alias("language"), part["posterior"].alias("posterior"),
+        part["letters"].alias("letters"), part["accepted"].alias("accepted"),
+    )
+
+
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op9_near_dedup)
+QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op7_language_id, op8_lm_scores, op9_near_dedup)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
