@@ -9,7 +9,7 @@ trigrams; all other terms are counts over the whole table, gathered by grouped a
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE`` per language, chosen by hash).
 A row is rejected when its text gives evidence and the evidence as a whole does not settle on a
-language, or when the text reads as none of them; rows without letters are rejected too.
+language, or when a long text reads as none of them; rows without letters are rejected too.
 """
 
 from __future__ import annotations
@@ -34,9 +34,11 @@ TRUST = 60.0
 #: Pseudo-counts with which a host's prior leans on its parent's, and of every other count.
 LEAN = 20.0
 HALF = 0.5
-#: Least posterior of an accepted row, and least average gain (nats a trigram) over unknown text.
+#: Least posterior of an accepted row; least average gain (nats a trigram) over unknown text, and the
+#: trigrams from which on a text must reach it.
 SURE = 0.5
 FLOOR = -1.5
+LONG = 100
 SUFFIX = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en", "us": "en"}
 
 
@@ -228,7 +230,7 @@ def identify(
     best = F.array_position(posterior, F.array_max(posterior)).cast("int")
     languages = F.array(*[F.lit(name) for name in model.languages])
     letters = F.col(f"{score}.letters")
-    reads = F.array_max(F.col(f"{score}.gains")) / F.greatest(letters, F.lit(1)) > FLOOR
+    reads = (letters < LONG) | (F.array_max(F.col(f"{score}.gains")) > letters * FLOOR)
     verdict = F.struct(
         F.element_at(languages, best).alias("best"),
         F.array_max(posterior).alias("posterior"),

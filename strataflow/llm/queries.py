@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat, decontaminate, exact_dedup, language, maxent_lm, near_dedup, pii, url_rules
+from strataflow.llm import bpe, chat, decontaminate, exact_dedup, html_text, language, maxent_lm, near_dedup, pii, url_rules
 from strataflow.llm.common import table
 
 
@@ -87,11 +88,19 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = (op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op7_language_id, op8_lm_scores, op9_near_dedup)
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = (
+    op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op7_language_id, op8_lm_scores, op9_near_dedup,
+    op10_html_text,
+)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 SQL = {
