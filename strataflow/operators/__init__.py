@@ -10,12 +10,10 @@ from .grouping import (
     trend,
 )
 from .joins import (
-    is_small,
     join_dim,
     join_first,
     join_many,
     join_one,
-    small_side,
     star_join,
     with_match,
     without_match,
@@ -44,7 +42,6 @@ __all__ = [
     "fill_defaults",
     "first_times",
     "hot_keys",
-    "is_small",
     "join_dim",
     "join_first",
     "join_many",
@@ -58,7 +55,6 @@ __all__ = [
     "row_filter",
     "skew_join",
     "slice_rows",
-    "small_side",
     "standardise_labels",
     "star_join",
     "top_k",

@@ -7,31 +7,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sizing import planned_bytes
 from .dedup import dedup_latest
 from .skew import skew_join
 
-# A lookup table is broadcast only when one of these bounds is proven for it.
-SMALL_BYTES = 16 * 1024 * 1024
-SMALL_ROWS = 50_000
-
-
-def is_small(df: DataFrame, max_bytes: int = SMALL_BYTES, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether the table is proven small: by planned size, else by a count that stops early."""
-    size = planned_bytes(df)
-    if size is not None and size <= max_bytes:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_bytes: int = SMALL_BYTES, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it is proven small, otherwise unchanged.
-
-    An unhinted table is joined by shuffle, where adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if is_small(df, max_bytes, max_rows) else df
-
-
 def without_match(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` with no partner.  The right side is reduced to its distinct keys first,
     so a key that fills the right table is collapsed before the shuffle."""
@@ -48,11 +26,14 @@ def with_match(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Da
 def join_dim(
     fact: DataFrame, dim: DataFrame, key: str, columns: Iterable[str | Column] = (), how: str = "inner"
 ) -> DataFrame:
-    """Look up dimension columns by key.  The dimension is broadcast after a size check."""
+    """Look up dimension columns by key.
+
+    Without a hint: Spark broadcasts the dimension if its measured size allows it, and otherwise joins by
+    shuffle, where adaptive execution splits skewed partitions."""
     wanted = list(columns)
     if wanted:
         dim = dim.select(key, *wanted)
-    return fact.join(small_side(dim), key, how)
+    return fact.join(dim, key, how)
 
 
 def star_join(fact: DataFrame, dims: Iterable[tuple[DataFrame, str, Iterable[str | Column]]]) -> DataFrame:

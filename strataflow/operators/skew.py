@@ -4,45 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sizing import planned_bytes
-
 # A key is hot when it holds more rows than this: about what one join task should handle.
 HOT_ROWS = 1_000_000
-# At most this many of the hottest keys are split; any other key holds under 0.1 % of the rows.
-MAX_HOT_KEYS = 1_000
-# A table of this size fits one task, so no key in it can be a problem.
-SAFE_BYTES = 256 * 1024 * 1024
-# Keys of tables above this size are counted on a sample.
-COUNT_ALL_BYTES = 4 * 1024**3
-# Bounds of the parts of one key, and of the rows without a key, which match nothing.
-MAX_PARTS = 4_096
-NULL_PARTS = 4_096
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> list[Row]:
-    """The hottest keys with an estimate of their rows, at most ``MAX_HOT_KEYS``.
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key with more than ``hot_rows`` rows, and how many: a lazy plan with map-side counts.
 
-    One aggregate over the key columns with map-side partial counts.  A large table is sampled,
-    so that a hot key still shows a thousand rows or more; the answer only decides how work is
-    spread, never which rows the join returns.
-    """
-    size = planned_bytes(df) or 0
-    fraction = 1.0 if size <= COUNT_ALL_BYTES else min(1.0, max(COUNT_ALL_BYTES / size, 1_000 / hot_rows))
-    keys = df.select(*on)
-    if fraction < 1.0:
-        keys = keys.sample(fraction=fraction, seed=17)
-    return (
-        keys.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > F.lit(max(1, int(hot_rows * fraction))))
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / F.lit(fraction)).cast("bigint").alias("_rows"))
-        .collect()
-    )
+    There are at most (rows / ``hot_rows``) of them.  Rows without a key match nothing and are left out."""
+    keys = df.select(*on).dropna()
+    return keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
 
 
 def skew_join(
@@ -54,43 +28,36 @@ def skew_join(
     spread_on: str,
     probe: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    safe_bytes: int = SAFE_BYTES,
 ) -> DataFrame:
     """Inner or left join where the ``hot`` side ("left" or "right") may be dominated by few keys.
 
-    Rows of a hot key on the hot side are spread over several join partitions by a hash of
-    ``spread_on`` (a column unique on that side); the matching rows of the other side are
-    repeated once per part.  Rows of the hot side without a key are spread as well.  Without hot
-    keys this is the plain join.  Either way the result is the same, row for row.
+    Rows of a hot key on the hot side are spread over as many join partitions as ``hot_rows`` goes into
+    their number, by a hash of ``spread_on`` (a column unique on that side); the matching rows of
+    the other side are repeated once per part.  Rows of the hot side without a key are spread one by one
+    if the join keeps them, and dropped before the shuffle otherwise.  The result equals the plain
+    join, row for row.  Nothing runs before the result is asked for.
 
-    ``probe`` is a cheaper table with the same keys as the hot side, to look for hot keys in.
+    ``probe`` is a cheaper table with the same keys as a hot left side, to count keys in.  The hot list
+    is broadcast: it has at most (rows / ``hot_rows``) keys.
     """
     if how not in ("inner", "left") or hot not in ("left", "right"):
         raise ValueError("how must be inner or left, hot must be left or right")
+    if probe is not None and hot == "right":
+        raise ValueError("a hot right side is counted itself: each of its hot keys must have a match")
     on = [on] if isinstance(on, str) else list(on)
     wide, narrow = (left, right) if hot == "left" else (right, left)
-    probe = wide if probe is None else probe
-    size = planned_bytes(probe)
-    found = [] if size is not None and size <= safe_bytes else hot_keys(probe, on, hot_rows)
-    if not found:
-        return left.join(right, on, how)
-
-    # at most MAX_HOT_KEYS rows
-    known = [
-        (*[key[c] for c in on], min(MAX_PARTS, -(-key["_rows"] // hot_rows)))
-        for key in found
-        if all(key[c] is not None for c in on)
-    ]
-    types = ", ".join(f"`{c}` {probe.schema[c].dataType.simpleString()}" for c in on)
-    hot_list = F.broadcast(probe.sparkSession.createDataFrame(known, f"{types}, _parts int"))
+    counted = hot_keys(wide if probe is None else probe, on, hot_rows)
+    hot_list = F.broadcast(counted.select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint").alias("_parts")))
 
     missing = F.lit(False)
     for name in on:
         missing = missing | F.col(name).isNull()
-    spread, parts = F.xxhash64(F.col(spread_on)), F.coalesce(F.col("_parts"), F.lit(1))
-    part = F.when(missing, F.pmod(spread, F.lit(NULL_PARTS))).otherwise(F.pmod(spread, parts))
+    spread, parts = F.xxhash64(F.col(spread_on)), F.coalesce(F.col("_parts"), F.lit(1).cast("bigint"))
+    if hot == "right" or how == "inner":
+        wide = wide.where(~missing)
+    part = F.when(missing, spread).otherwise(F.pmod(spread, parts))
     wide = wide.join(hot_list, on, "left").withColumn("_part", part).drop("_parts")
-    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), (parts - 1).cast("bigint")))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
     narrow = narrow.join(hot_list, on, "left").withColumn("_part", copies)
     keys = [*on, "_part"]
     if hot == "left":

@@ -26,7 +26,7 @@ from ..functions import (
     week_start,
 )
 from ..operators.grouping import first_times, pct_of_total, pct_within, top_k
-from ..operators.joins import is_small, join_dim, join_many, join_one, without_match
+from ..operators.joins import join_dim, join_many, join_one, without_match
 from ..operators.skew import skew_join
 
 
@@ -202,13 +202,11 @@ def payment_reconciliation(
     in_country = cube.groupBy("country_id").agg(F.sum("n").alias("country_concentration_count"))
     in_month = cube.groupBy(*month).agg(F.sum("n").alias("month_concentration_count"))
 
-    # As many rows as the country dimension, so its size check covers the joined table too.
     country = countries.select(
         "country_id", "country_name", F.col("visa_fee_usd").alias("expected_fee"),
         F.col("processing_days").alias("expected_processing_days"),
     )
     known = country.join(in_country, "country_id")
-    known = F.broadcast(known) if is_small(country) else known
     # A date has a year below 10,000: at most 120,000 months.
     months = F.broadcast(in_month)
     same_month = gap[month[0]].eqNullSafe(months[month[0]]) & gap[month[1]].eqNullSafe(months[month[1]])

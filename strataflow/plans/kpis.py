@@ -212,7 +212,8 @@ def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .agg(
             _rows().alias("applications"),
             rounded_avg("s.hours").alias("avg_hours"),
-            F.percentile_approx("s.hours", 0.5).alias("median_hours"),
+            # exact at any group size: Spark keeps one count per distinct hour
+            F.expr("CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY s.hours) AS BIGINT)").alias("median_hours"),
             F.min("s.hours").alias("min_hours"),
             F.max("s.hours").alias("max_hours"),
         )

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES
 from ..session import shared_folder, store
-from ..sizing import size_shuffles
 from . import gold
 from .quality import dq_log
 from .silver import clean_table
@@ -97,7 +96,6 @@ class Lakehouse:
         self._folder = folder
         self._written: dict[str, DataFrame] = {}
         self._locks: dict[str, Lock] = {}
-        self._sized = False
 
     @property
     def folder(self) -> str:
@@ -106,16 +104,8 @@ class Lakehouse:
                 self._folder = shared_folder(self.spark, "lakehouse")
             return self._folder
 
-    def _size_shuffles(self) -> None:
-        """Once, before the first plan over raw tables."""
-        with self._locks.setdefault("sizes", Lock()):
-            if not self._sized:
-                size_shuffles(self.spark, map(self.raw, TABLES))
-                self._sized = True
-
     def clean(self, name: str) -> DataFrame:
         """The silver form of a table as a lazy plan over its raw table."""
-        self._size_shuffles()
         return clean_table(name, self.raw(name), self.as_of, self.payment_order)
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

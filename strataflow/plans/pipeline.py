@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import TABLES
 from ..session import shared_folder, store, tune
-from ..sizing import size_shuffles
 from ..sources.batch import write_each
 from ..sources.bronze import ingest_all
 from ..sources.catalog import (
@@ -43,7 +42,6 @@ def build_silver_layer(
     ensure_schema(spark, "silver", catalog)
     tag_schema(spark, "silver", SILVER_PROPERTIES, catalog)
     bronze = {t: read_table(spark, table_name("bronze", t, catalog)) for t in tables}
-    size_shuffles(spark, bronze.values())
 
     def build(table: str) -> int:
         return build_silver(table, clean_table(table, bronze[table], as_of, payment_order), catalog)
@@ -64,8 +62,6 @@ def build_gold_layer(
     def silver(table: str) -> DataFrame:
         return read_table(spark, table_name("silver", table, catalog))
 
-    size_shuffles(spark, map(silver, TABLES))
-
     @cache
     def unpaid() -> DataFrame:
         return store(gold_plan("unpaid_applications", silver), shared_folder(spark, "unpaid"))

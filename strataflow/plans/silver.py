@@ -38,14 +38,21 @@ SLOW_HOURS = "Slow (>72h)"
 STATUS_CATEGORIES = {"Approved": "Success", "Rejected": "Failure", "Pending": "In Progress"}
 
 
+#: When a row arrived in bronze: the newest arrival of a key is its current version.
+ARRIVAL = "bronze_ingestion_timestamp"
+
+
 def _base(df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
-    return df.select(*RAW_SCHEMAS[table].names, *extra)
+    arrival = [ARRIVAL] if ARRIVAL in df.columns else []
+    return df.select(*RAW_SCHEMAS[table].names, *extra, *arrival)
 
 
 def _unique(df: DataFrame, table: str, order_by: Sequence[str], keep: str) -> DataFrame:
+    """One row per key: the latest to arrive (where bronze says when), then the greatest by ``order_by``."""
     if keep == "any":
-        return dedup_any(df, KEYS[table])
-    return dedup_latest(df, KEYS[table], order_by)
+        return dedup_any(df, KEYS[table]).drop(ARRIVAL)
+    arrival = [ARRIVAL] if ARRIVAL in df.columns else []
+    return dedup_latest(df, KEYS[table], [*arrival, *order_by]).drop(ARRIVAL)
 
 
 def clean_countries(df: DataFrame, keep: str = "latest", unknown_label: str | None = None) -> DataFrame:

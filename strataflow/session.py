@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -51,7 +53,9 @@ def local_session(
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="strataflow-")
+    folder = tempfile.mkdtemp(prefix="strataflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

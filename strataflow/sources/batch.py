@@ -23,7 +23,7 @@ def write_each(
         try:
             return table, True, write(table), None
         except Exception as error:  # reported per table
-            return table, False, 0, f"{type(error).__name__}: {str(error).splitlines()[0]}"
+            return table, False, 0, f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"
 
     with ThreadPoolExecutor(at_once) as pool:
         results = list(pool.map(run, tables))

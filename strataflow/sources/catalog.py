@@ -7,6 +7,7 @@ table and its schema in one commit, so ``overwrite`` here drops and rewrites.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -92,7 +93,19 @@ def write_table(
 
     Rows are counted while they are written, so there is no second pass over the input.
     ``partition_by`` is meant for columns with few values (year, month) that readers filter on.
+
+    An overwrite writes the new rows beside the old table and swaps the names afterwards, so a write
+    that fails leaves the old table as it was, and ``df`` may read the table it replaces.  Files of an old
+    table with a ``path`` of its own stay where they are.
     """
+    spark = df.sparkSession
+    if mode == "overwrite" and spark.catalog.tableExists(name):
+        staged = f"{name}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        rows = write_table(df, staged, mode, partition_by, f"{path.rstrip('/')}-{uuid.uuid4().hex}" if path else None)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(name.split('.')[-2:])}")
+        return rows
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").mode(mode)
     if partition_by:
@@ -103,18 +116,22 @@ def write_table(
     return int(seen.get["rows"])
 
 
-def build_gold(name: str, df: DataFrame, catalog: str | None = None, path: str | None = None) -> int:
+def build_gold(
+    name: str, df: DataFrame, catalog: str | None = None, path: str | None = None, partition_by: Sequence[str] = ()
+) -> int:
     """Create or replace a gold table from a query."""
-    return write_table(add_audit(df, "gold"), table_name("gold", name, catalog), path=path)
+    return write_table(
+        add_audit(df, "gold"), table_name("gold", name, catalog), partition_by=partition_by, path=path
+    )
 
 
 def build_silver(
-    name: str, df: DataFrame, catalog: str | None = None, path: str | None = None
+    name: str, df: DataFrame, catalog: str | None = None, path: str | None = None, partition_by: Sequence[str] = ()
 ) -> int:
     """Create or replace a silver table, stamped with its bronze source."""
     source = table_name("bronze", name, catalog)
     return write_table(
-        add_audit(df, "silver", source), table_name("silver", name, catalog), path=path
+        add_audit(df, "silver", source), table_name("silver", name, catalog), partition_by=partition_by, path=path
     )
 
 

@@ -13,7 +13,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import small_side
 
 # Columns that give the source rows of one payment a total order; dropped after cleaning.
 PAYMENT_ORDER = ("source_date", "source_part", "source_supplier")
@@ -36,7 +35,7 @@ class Fixtures:
     def _countries(self) -> DataFrame:
         n = F.col("n_nationkey")
         nations = self.table("nation").join(
-            small_side(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey")
+            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
         return nations.select(
             n.alias("country_id"),
@@ -67,7 +66,7 @@ class Fixtures:
         k = F.col("c_custkey")
         key = k.cast("string")
         customers = self.table("customer").join(
-            small_side(self.table("nation").select("n_nationkey", "n_name")),
+            self.table("nation").select("n_nationkey", "n_name"),
             F.col("c_nationkey") == F.col("n_nationkey"),
         )
         return customers.select(
@@ -103,7 +102,7 @@ class Fixtures:
         nations = self.table("nation").select(
             F.col("n_nationkey").alias("_nation"), F.col("n_name").alias("issuing_country")
         )
-        return issued.join(small_side(nations), "_nation").drop("_nation")
+        return issued.join(nations, "_nation").drop("_nation")
 
     # facts
     def _applications(self) -> DataFrame:

@@ -1,3 +1,3 @@
-from .incremental import ingest_incremental, ingest_new_rows, new_rows
+from .incremental import ingest_incremental, new_rows
 
-__all__ = ["ingest_incremental", "ingest_new_rows", "new_rows"]
+__all__ = ["ingest_incremental", "new_rows"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,19 +47,27 @@ def ingest_incremental(
     query.awaitTermination()
 
 
-def new_rows(source: DataFrame, time: str, high_water_mark: Column | object | None) -> DataFrame:
-    """Batch form: rows later than the newest one already loaded (all rows if none is)."""
-    if high_water_mark is None:
-        return source
-    mark = high_water_mark if isinstance(high_water_mark, Column) else F.lit(high_water_mark)
-    return source.where(F.col(time) > mark)
-
+def new_rows(
+    source: DataFrame,
+    target: DataFrame | None,
+    key: Sequence[str],
+    time: str | None = None,
+    lateness: str | None = None,
+) -> DataFrame:
+    """Batch form: the rows of ``source`` whose key is not in ``target`` (all rows without a target).
 
-def ingest_new_rows(source: DataFrame, target: DataFrame | None, time: str) -> DataFrame:
-    """Rows of ``source`` later than the newest row of ``target``.
-
-    The mark is a scalar subquery, so the filter reaches the scan of the source."""
+    ``key`` names a row, or a version of it if versions are wanted.  Late rows, rows that share the newest
+    time and rows without a time come too; null key parts equal each other.  Where ``time`` and
+    ``lateness`` (an interval such as "3 days") are given, rows older than the newest loaded time by more than
+    that are known to be loaded and are left out of the scan; rows without a time never are.
+    """
     if target is None:
         return source
-    mark = target.agg(F.max(time)).scalar()
-    return source.where(mark.isNull() | (F.col(time) > mark))
+    if time and lateness:
+        bound = target.agg(F.max(time)).scalar() - F.expr(f"INTERVAL {lateness}")
+        source = source.where(bound.isNull() | F.col(time).isNull() | (F.col(time) >= bound))
+    loaded = target.select(*[F.col(c).alias(f"_loaded_{c}") for c in key]).distinct()
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_loaded_{c}"))
+    return source.join(loaded, same, "left_anti")

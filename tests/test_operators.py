@@ -13,7 +13,6 @@ from strataflow.operators import (
     dedup_report,
     fill_defaults,
     first_times,
-    is_small,
     join_dim,
     join_first,
     last_event,
@@ -23,7 +22,6 @@ from strataflow.operators import (
     reject_counts,
     row_filter,
     slice_rows,
-    small_side,
     standardise_labels,
     star_join,
     top_k,
@@ -70,13 +68,10 @@ def test_anti_and_semi_split_the_left_side(pairs, spark):
     assert rows(out.select("s")) == [("d",), ("e",)]
 
 
-def test_size_check_decides_the_broadcast(spark):
-    big = spark.range(100)
-    assert is_small(big)
-    assert not is_small(big, max_bytes=1, max_rows=99)
-    assert is_small(big, max_bytes=1, max_rows=100)
-    assert "broadcast" in small_side(big)._jdf.queryExecution().logical().toString().lower()
-    assert small_side(big, max_bytes=1, max_rows=99) is big
+def test_lookups_carry_no_broadcast_hint(spark, pairs):
+    dim = spark.range(10).select(F.col("id").cast("int").alias("k"), F.lit("n").alias("name"))
+    for df in (join_dim(pairs, dim, "k"), row_filter(pairs, "k", dim)):
+        assert "hint" not in df._jdf.queryExecution().logical().toString().lower()
 
 
 def test_join_dim_and_star(spark, pairs):
@@ -160,20 +155,3 @@ def test_metric_view_reaggregates(spark):
         view.query(["nope"])
 
 
-def test_shuffle_partitions_follow_the_scanned_bytes(spark, tmp_path, monkeypatch):
-    from strataflow import sizing
-
-    path = str(tmp_path / "t")
-    spark.range(100_000).write.parquet(path)
-    table = spark.read.parquet(path)
-    size = sizing.scanned_bytes(table)
-    assert 100_000 < size < 2_000_000
-    assert sizing.scanned_bytes(table.join(table.withColumnRenamed("id", "k"), F.col("id") == F.col("k"))) == 2 * size
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert sizing.size_shuffles(spark, [table]) == int(before)  # never lowered
-        monkeypatch.setattr(sizing, "PARTITION_BYTES", size // 5)
-        assert sizing.size_shuffles(spark, [table]) >= 15
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 15
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from strataflow.plans import silver
@@ -137,3 +138,23 @@ def test_clean_standard(spark):
 @pytest.mark.parametrize("name", ["countries", "users", "applications", "payments", "documents", "support_tickets", "airports"])
 def test_empty_input(spark, name):
     assert silver.clean_table(name, table(spark, name)).count() == 0
+
+
+def test_the_version_that_arrived_last_stays(spark):
+    from strataflow.plans import silver
+    from strataflow.plans.silver import ARRIVAL
+    from strataflow.schemas import RAW_SCHEMAS
+
+    names = RAW_SCHEMAS["applications"]
+    first = spark.range(1000).select(
+        *[
+            (F.col("id") if f.name == "application_id" else F.lit("Pending") if f.name == "status"
+             else F.lit("2024-01-01") if f.dataType.typeName() in ("date", "timestamp") else F.lit("1"))
+            .cast(f.dataType).alias(f.name)
+            for f in names
+        ],
+        F.lit("2024-05-01 00:00:00").cast("timestamp").alias(ARRIVAL),
+    )
+    later = first.withColumn("status", F.lit("Approved")).withColumn(ARRIVAL, F.col(ARRIVAL) + F.expr("INTERVAL 1 DAY"))
+    out = silver.clean_applications(later.union(first).union(later))
+    assert rows(out.groupBy("status").count()) == [("Approved", 1000)] and ARRIVAL not in out.columns

@@ -8,7 +8,7 @@ from strataflow import sources as src
 from strataflow.schemas import RAW_SCHEMAS, TABLES
 from strataflow.session import shared_folder
 from strataflow.sources.fixtures import Fixtures
-from strataflow.streaming import ingest_incremental, ingest_new_rows, new_rows
+from strataflow.streaming import ingest_incremental, new_rows
 
 
 @pytest.fixture(scope="module")
@@ -114,11 +114,36 @@ def test_incremental_runs_equal_one_full_load(spark, tmp_path):
 
 def test_batch_high_water_mark(spark):
     source = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, at int")
-    assert new_rows(source, "at", None).count() == 3
-    assert rows(new_rows(source, "at", 15).select("id")) == [(2,), (3,)]
-    assert rows(ingest_new_rows(source, source.where("at <= 20"), "at").select("id")) == [(3,)]
-    assert ingest_new_rows(source, source.limit(0), "at").count() == 3
-    assert ingest_new_rows(source, None, "at").count() == 3
+    assert new_rows(source, None, ["id"]).count() == 3
+    assert rows(new_rows(source, source.where("at <= 20"), ["id"]).select("id")) == [(3,)]
+    assert new_rows(source, source.limit(0), ["id"]).count() == 3
+
+
+def test_late_tied_and_timeless_rows_are_new(spark):
+    from datetime import datetime as at
+
+    day = at(2024, 5, 1)
+    loaded = [(1, day), (2, at(2024, 5, 9))]
+    late, tied, timeless = (3, at(2024, 5, 8)), (4, at(2024, 5, 9)), (5, None)
+    make = lambda r: spark.createDataFrame(r, "id long, at timestamp")
+    source, target = make([*loaded, late, tied, timeless, (None, day)]), make(loaded)
+    assert rows(new_rows(source, target, ["id"]).select("id")) == [(None,), (3,), (4,), (5,)]
+    assert rows(new_rows(source, target, ["id"], "at", "3 days").select("id")) == [(3,), (4,), (5,)]
+
+
+def test_a_failing_overwrite_leaves_the_old_table(spark):
+    from strataflow.sources.catalog import write_table
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS swap_test")
+    try:
+        assert write_table(spark.range(3), "swap_test.t") == 3
+        with pytest.raises(Exception):
+            write_table(spark.range(2).selectExpr("raise_error('no')"), "swap_test.t")
+        assert spark.table("swap_test.t").count() == 3
+        assert write_table(spark.table("swap_test.t").where("id > 0"), "swap_test.t") == 2
+        assert rows(spark.table("swap_test.t")) == [(1,), (2,)]
+    finally:
+        spark.sql("DROP DATABASE swap_test CASCADE")
 
 
 def test_full_pipeline_equals_the_lakehouse(spark, small_lake):

@@ -48,7 +48,7 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str
             f"rows: spark {sum(got.values())}, sql {sum(want.values())}; only in spark {sum(extra.values())}, "
             f"only in sql {sum(missing.values())}\n  columns {order}\n  spark {next(iter(extra), None)}\n  sql   {next(iter(missing), None)}"
         )
-    for row in rows[:200]:
+    for row in rows:
         for name, value in zip(order, row):
             if isinstance(value, float) and kinds[name] not in ("DOUBLE", "FLOAT"):
                 return f"type of {name}: spark double, sql {kinds[name]}"

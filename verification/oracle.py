@@ -521,6 +521,7 @@ QUERIES: dict[str, str] = {
     "bronze_source_files": " UNION ALL ".join(
         f"SELECT '{t}' AS source_table, count(*) AS rows FROM {t}" for t in ("customer", "orders", "lineitem", "events")
     ),
+    "incremental_batch": "SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS event_ids FROM events GROUP BY event_type",
     "incremental_load": "SELECT event_type, 'raw.raw_events' AS bronze_source_table, count(*) AS rows, count(DISTINCT event_id) AS event_ids FROM events GROUP BY event_type",
     "silver_countries": f"SELECT * REPLACE ({dbl('visa_fee_usd')} AS visa_fee_usd, {dbl('approval_rate')} AS approval_rate) FROM silver_countries",
     "silver_visa_types": "SELECT * FROM silver_visa_types",
@@ -792,7 +793,7 @@ SELECT payment_method, {dbl('sum(successful_revenue)')} AS revenue, {big('sum(to
 SELECT {txt('make_date(payment_year, payment_month, 1)')} AS payment_month_date, {dbl('sum(successful_revenue)')} AS revenue,
        {big('sum(total_transactions)')} AS transactions,
        {share('sum(successful_revenue)', '(SELECT sum(successful_revenue) FROM gold_revenue)')} AS revenue_pct FROM gold_revenue GROUP BY 1""",
-    "trend_weekly": _trend(f"{txt(chr(67) + 'AST(date_trunc(' + chr(39) + 'week' + chr(39) + ', application_date) AS DATE)')} AS application_week"),
+    "trend_weekly": _trend(txt("CAST(date_trunc('week', application_date) AS DATE)") + " AS application_week"),
     "trend_by_status": _trend("status"),
     "threshold_status": f"""
 WITH t AS ({_trend('country_id')}), h AS (SELECT *, {r('100 - late_pct')} AS on_time_pct FROM t)
