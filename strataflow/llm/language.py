@@ -129,7 +129,7 @@ def text_scores(docs: DataFrame, model: Model, text: str, name: str) -> DataFram
                 bucket, row = _trigrams(chunk.data, chunk.offsets)
                 rows = chunk.hi - chunk.lo
                 letters.append(np.bincount(row, minlength=rows))
-                gains.append(np.stack([np.bincount(row, g[bucket], rows) for g in gain], axis=1) if len(gain) else np.zeros((rows, 0)))
+                gains.append(np.stack([np.bincount(row, g[bucket], rows) for g in gain], axis=1).astype(float) if len(gain) else np.zeros((rows, 0)))
             total = np.concatenate(gains) if gains else np.zeros((0, len(gain)))
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(total) + 1) * total.shape[1], pa.int32()), pa.array(total.reshape(-1))

@@ -274,7 +274,7 @@ def test_scores_without_training_text(spark):
 
 PAGES = {
     "<article><h1>T &amp; U</h1><p>a <b>b\n\n<br>c<p>d</article><div>z</div>": "T & U\na b c\nd",
-    "<html><head><title>t<body><nav>n</nav><main><p>x&nbsp;y<ul><li>1<li>2</ul><form>f</form></main><footer>g": "x y\n1\n2",
+    "<html><head><title>t</title><body><nav>n</nav><main><p>x&nbsp;y<ul><li>1<li>2</ul><form>f</form></main><footer>g": "x y\n1\n2",
     "<article><header><h1>H</h1></header><p><a href=x>all link</a></p><div class='ad'>buy</div><section id=comments><p>me too</section></article>": "H\nall link",
     "<article><p><br>t</p><script>if (a < b) { '</p>' }</script><style>p{}</style><!-- <p>no</p> --><aside>s</aside></article>": "t",
     "<div hidden>no</div>": "",
