@@ -519,7 +519,8 @@ _OK, _BAD = "sum(successful_payments)", "sum(failed_payments)"
 QUERIES: dict[str, str] = {
     "bronze_ingest": _per_table("SELECT '{table}' AS \"table\", TRUE AS success, count(*) AS rows FROM raw_{table}", _RAW),
     "bronze_source_files": " UNION ALL ".join(
-        f"SELECT '{t}' AS source_table, count(*) AS rows FROM {t}" for t in ("customer", "orders", "lineitem", "events")
+        f"SELECT '{t}' AS source_table, count(*) AS rows FROM {t}"
+        for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events", "documents", "labels")
     ),
     "incremental_batch": "SELECT event_type, count(*) AS rows, count(DISTINCT event_id) AS event_ids FROM events GROUP BY event_type",
     "incremental_load": "SELECT event_type, 'raw.raw_events' AS bronze_source_table, count(*) AS rows, count(DISTINCT event_id) AS event_ids FROM events GROUP BY event_type",

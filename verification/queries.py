@@ -98,7 +98,7 @@ def _(l: Lakehouse) -> DataFrame:
         add_source_file(l.spark.read.parquet(f"{_sf_dir(l)}/{t}.parquet"))
         .groupBy("source_file")
         .agg(F.count(F.lit(1)).alias("rows"))
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+        for t in ("region", "nation", "customer", "supplier", "orders", "lineitem", "events", "documents", "labels")
     ]
     name = F.regexp_extract("source_file", r"([a-z]+)\.parquet", 1).alias("source_table")
     return union_reports(*per_file).groupBy(name).agg(F.sum("rows").alias("rows"))
