@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -32,8 +33,8 @@ from strataflow.llm.common import col
 
 END = "</w>"
 #: Letters of known words after which a worker forgets them (about 20 bytes each), and pairs likewise.
-MAX_LETTERS = 8_000_000
-MAX_PAIRS = 500_000
+MAX_LETTERS = 3_000_000
+MAX_PAIRS = 150_000
 NEVER = 1 << 30
 
 
@@ -281,10 +282,9 @@ def encode_documents(
 
 def _steps(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``STEP`` bytes of text each."""
-    lengths = batch.column(place).to_pylist()
     start = size = 0
-    for k, value in enumerate(lengths):
-        size += len(value or "")
+    for k, length in enumerate(pc.binary_length(batch.column(place)).to_pylist()):
+        size += length or 0
         if size >= STEP:
             yield batch.slice(start, k + 1 - start)
             start, size = k + 1, 0
