@@ -195,7 +195,7 @@ def test_evidence_settles_short_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(docs)
     short = spark.createDataFrame(
-        [(1, "an", "de", "x.example.de"), (2, "an", "en", "y.example.com"), (3, "...", "en", None), (4, None, None, None), (5, "", "de", ""), (6, "un", "xx", "?")],
+        [(1, "in", "de", "x.example.de"), (2, "in", "en", "y.example.com"), (3, "...", "en", None), (4, None, None, None), (5, "", "de", ""), (6, "un", "xx", "?")],
         "doc_id long, text string, lang string, host string",
     )
     both = docs.select("doc_id", "text", "lang", F.lit("h.example.com").alias("host")).union(short.select("doc_id", "text", "lang", "host"))
