@@ -633,7 +633,7 @@ def abandoned_applications(
 ) -> DataFrame:
     """Unfinished applications, one row each, with last event, age and recovery class."""
     now = as_time(as_of)
-    # The newest event is a maximum, so event histories are combined map-side and never sorted;
+    # The newest event is a maximum, so event histories are combined map-side before the shuffle (each task sorts its rows by key for that);
     # event_id settles equal times.
     activity = (
         events.groupBy("application_id")

@@ -226,7 +226,7 @@ def flag_payment_retry(payments: DataFrame, **skew) -> DataFrame:
     ``retry_after_failure``: an earlier attempt of that application failed.
 
     Attempts are ordered by time and id.  Both flags only need the first (failed) attempt per
-    application, which is a map-side combined minimum; no attempt history is ever sorted, so an
+    application, which is a map-side combined minimum; each task sorts its rows by key, never a whole history, so an
     application with a huge number of attempts costs the same per row as any other.
     """
     attempt = F.struct("payment_time", "payment_id")
