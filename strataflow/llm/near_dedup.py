@@ -9,9 +9,10 @@ about 10^-7.  Pairs that meet are confirmed on their full shingle sets.
 
 No group is ever expanded into all its pairs.  Copies of one word sequence are one node.  Under each
 key the nodes are first compared with one of them, its centre; linked nodes become components; further
-rounds take other centres.  Only nodes still outside their key's largest component are then compared
-with the others of the key, which makes the search complete: whatever meets under a key is either
-compared or known to be connected.
+rounds take other centres.  Nodes still outside their key's largest component are then compared with the
+others of the key; where a key is crowded, only with those that share one of their rarest shingles, as any
+similar text must.  This makes the search complete: whatever meets under a key is compared, known to be
+connected or known to differ.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import col, fresh, keep
@@ -36,6 +37,8 @@ MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Signatures that differ in more symbols are not compared in full: at the similarity bound that
 #: loses less than one pair in 10^6.
 FAR = 28
+#: Nodes of one key up to which all of them may be compared; in larger keys only those that share a rare shingle.
+CROWDED = 16
 
 _rng = np.random.default_rng(20_11)
 _FACTORS = _rng.integers(0, 1 << 63, SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -232,6 +235,49 @@ def _rest(entries: DataFrame, percent: int) -> DataFrame:
     return _ordered(met.where(_similar_size(percent)))
 
 
+def _shingles(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, n, root, shingle): the shingle hashes of ``nodes`` (node, n, root)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(3)):
+                hashes, row = _distinct_windows(find_words(chunk, NOT_SPACE), shingle)
+                own = batch.slice(chunk.lo, chunk.hi - chunk.lo).select([0, 1, 2]).take(pa.array(row))
+                yield own.append_column("shingle", pa.array(hashes.view(np.int64)))
+
+    return nodes.join(texts, "node").mapInArrow(run, "node long, n long, root long, shingle long")
+
+
+def _dense(entries: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs of nodes of crowded keys that their rarest shingles leave possible.
+
+    With every set in the same order, rarest shingles first, two sets that are similar enough share one
+    among their first n - ceil(percent * n / 100) + 1 (of the smaller set: among fewer still), and from the
+    first shared one on both are long enough for the overlap the link needs.  So no link is lost, while texts
+    that share common passages but differ in their own words never meet."""
+    rows = keep(_shingles(entries.select("node", "n", "root").distinct(), texts, shingle), "shingles")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    own = Window.partitionBy("node")
+    # shingles of one node alone come first in its order and meet nobody
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "shingle"))
+    placed = rows.join(counts, "shingle").withColumn("place", place)
+    first = keep(placed.where(f"place <= n - ceil({percent} * n / 100) + 1").drop("times"), "first-shingles")
+    fewer = first.where(f"place <= n - ceil({2 * percent} * n / {100 + percent}) + 1").select(
+        "shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("place").alias("at")
+    )
+    enough = f"{100 + percent} * (1 + least(n - place, m - at)) >= {percent} * (n + m)"
+    met = first.join(fewer, "shingle").where("root <> r").where("m < n or (m = n and other < node)")
+    return _ordered(met.where(enough).where(_similar_size(percent)))
+
+
+def _last_round(entries: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """All pairs of different components that meet under a key and may be links."""
+    entries = keep(entries, "apart")
+    crowded = entries.groupBy("key").agg(F.count("*").alias("size")).where(f"size > {CROWDED}").select("key")
+    few = _rest(entries.join(crowded, "key", "left_anti"), percent)
+    return few.union(_dense(entries.join(crowded, "key", "left_semi"), texts, shingle, percent)).distinct()
+
+
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose signatures differ in at most ``FAR`` symbols."""
     signed = nodes.select("node", "signature")
@@ -284,7 +330,7 @@ def near_groups(
         lambda e: _with_centre(e, percent),
         lambda e: _with_centre(e, percent, "key"),
         lambda e: _with_centre(e, percent, "key", "1"),
-        lambda e: _rest(e, percent),
+        lambda e: _last_round(e, texts, shingle, percent),
     )):
         pairs = pairs_of(_apart(entries, roots))
         for before in compared:
