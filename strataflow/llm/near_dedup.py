@@ -217,7 +217,7 @@ def _with_centre(entries: DataFrame, percent: int, *salt: str) -> DataFrame:
 
     Without salt, keys with common nodes mostly share a centre: few pairs that link most copies.
     Salted by the key, each key has a centre of its own, so a node meets as many centres as it has keys."""
-    rank = F.xxhash64("node", *[F.lit(x) if x.isdigit() else F.col(x) for x in salt])
+    rank = F.xxhash64("node", *[F.col(x) for x in salt])
     centre = entries.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), rank).alias("c"))
     pairs = entries.join(centre, "key").where("root <> c.root").select(
         "node", "n", F.col("c.node").alias("other"), F.col("c.n").alias("m")
@@ -329,7 +329,6 @@ def near_groups(
     for k, pairs_of in enumerate((
         lambda e: _with_centre(e, percent),
         lambda e: _with_centre(e, percent, "key"),
-        lambda e: _with_centre(e, percent, "key", "1"),
         lambda e: _last_round(e, texts, shingle, percent),
     )):
         pairs = pairs_of(_apart(entries, roots))
