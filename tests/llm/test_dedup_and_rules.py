@@ -137,6 +137,23 @@ def test_a_hot_group_of_near_copies(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == near_by_hand(rows, 4)
 
 
+def test_crowded_keys_lose_no_link(spark, monkeypatch):
+    """Many versions of one text, most of them similar at less than the bound: all links, though few are compared."""
+    monkeypatch.setattr(near_dedup, "CROWDED", 3)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randint(3, 7)):  # the changes come from few places and words, so some are shared
+            words[rng.randrange(0, 150, 10)] = f"x{rng.randint(0, 2)}"
+        rows.append((i, " ".join(words[: 150 - rng.choice([0, 0, 20])])))
+    got = near_dedup.near_groups(spark.createDataFrame(rows, DOCS), shingle=4).collect()
+    want = near_by_hand(rows, 4)
+    assert 10 < len({c for _, _, c in want}) < 110
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+
+
 def test_drop_near_copies_leaves_one_row_of_each_group(spark):
     rows = near_rows()
     docs = spark.createDataFrame(rows, DOCS).withColumn("node", F.lit(1)).withColumn("_print", F.lit(2))
