@@ -136,22 +136,25 @@ def index_keys(nodes: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose full shingle sets are similar enough."""
-    left = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
-    right = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    """Those pairs (u, v) whose full shingle sets are similar enough; sets are built only where the
+    signatures differ in at most ``FAR`` symbols."""
+    left = texts.select("node", "signature", "text").toDF("u", "s", "a")
+    right = texts.select("node", "signature", "text").toDF("v", "t", "b")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                sets = [_sets(part.column(c), shingle) for c in (2, 3)]
+            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SIZE) for c in (2, 3))
+            close = batch.filter(pa.array((s != t).sum(axis=1) <= FAR))
+            for at in range(0, close.num_rows, 64):
+                part = close.slice(at, 64)
+                sets = [_sets(part.column(c), shingle) for c in (4, 5)]
                 good = []
                 for a, b in zip(*sets):
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     good.append(100 * both >= percent * (len(a) + len(b) - both))
                 yield part.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    both = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", "s", "t", "a", "b")
     return both.mapInArrow(run, "u long, v long")
 
 
@@ -245,7 +248,7 @@ def _shingles(nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
                 own = batch.slice(chunk.lo, chunk.hi - chunk.lo).select([0, 1, 2]).take(pa.array(row))
                 yield own.append_column("shingle", pa.array(hashes.view(np.int64)))
 
-    return nodes.join(texts, "node").mapInArrow(run, "node long, n long, root long, shingle long")
+    return nodes.join(texts.select("node", "text"), "node").mapInArrow(run, "node long, n long, root long, shingle long")
 
 
 def _dense(entries: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -278,21 +281,6 @@ def _last_round(entries: DataFrame, texts: DataFrame, shingle: int, percent: int
     return few.union(_dense(entries.join(crowded, "key", "left_semi"), texts, shingle, percent)).distinct()
 
 
-def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose signatures differ in at most ``FAR`` symbols."""
-    signed = nodes.select("node", "signature")
-    both = pairs.join(signed.toDF("u", "a"), "u").join(signed.toDF("v", "b"), "v").select("u", "v", "a", "b")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SIZE) for c in (2, 3)
-            )
-            yield batch.select(["u", "v"]).filter(pa.array((a != b).sum(axis=1) <= FAR))
-
-    return both.mapInArrow(run, "u long, v long")
-
-
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -336,7 +324,7 @@ def near_groups(
             pairs = pairs.join(before, ["u", "v"], "left_anti")
         pairs = keep(pairs, "pairs")
         compared.append(pairs)
-        links = keep(_confirmed(_close(pairs, nodes), texts, shingle, percent), "links")
+        links = keep(_confirmed(pairs, texts, shingle, percent), "links")
         found.append(links)
         edges = links
         if k:
@@ -355,11 +343,12 @@ def near_groups(
 
 
 def _texts(docs: DataFrame, id_col: str, text: str, nodes: DataFrame, entries: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that share a key with another; repeated rows combined before the shuffle."""
-    wanted = nodes.join(entries.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "print")
+    """(node, signature, text) of the nodes that share a key with another; repeated rows combined before the shuffle."""
+    wanted = nodes.join(entries.select("node").distinct(), "node", "left_semi").select("node", "signature", "doc_id", "print")
     raw = docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("print"), col(text).alias("text"))
     same = raw["doc_id"].eqNullSafe(wanted["doc_id"]) & (raw["print"] == wanted["print"])
-    return raw.join(wanted, same).select("node", "text").groupBy("node").agg(F.first("text").alias("text"))
+    found = raw.join(wanted, same).select("node", "signature", "text")
+    return found.groupBy("node").agg(F.first("signature").alias("signature"), F.first("text").alias("text"))
 
 
 def drop_near_copies(
