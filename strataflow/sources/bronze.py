@@ -20,14 +20,15 @@ def copy_raw_to_bronze(
     source: DataFrame | None = None,
     catalog: str | None = None,
     folder: str | None = None,
+    schema: str | None = None,
 ) -> int:
-    """Copy one raw table and return the rows written.  ``source`` replaces the catalog table."""
+    """Copy one raw table and return the rows written.  ``source`` replaces the catalog table,
+    ``schema`` the bronze schema that the copy goes to."""
     raw_name = table_name("raw", table, catalog)
     rows = spark.table(raw_name) if source is None else source
     path = f"{folder}/bronze_{table}" if folder else None
-    return write_table(
-        add_audit(rows, "bronze", raw_name, ingested_at), table_name("bronze", table, catalog), mode, path=path
-    )
+    target = f"{schema}.bronze_{table}" if schema else table_name("bronze", table, catalog)
+    return write_table(add_audit(rows, "bronze", raw_name, ingested_at), target, mode, path=path)
 
 
 def ingest_all(
@@ -38,13 +39,17 @@ def ingest_all(
     catalog: str | None = None,
     folder: str | None = None,
     at_once: int = 4,
+    schema: str | None = None,
 ) -> DataFrame:
-    """Copy a list of tables; one result row per table with rows or the error."""
-    ensure_schema(spark, "bronze", catalog)
+    """Copy a list of tables; one result row per table with rows or the error.
+
+    A ``schema`` given must exist; without one the bronze schema is made where it is missing."""
+    if schema is None:
+        ensure_schema(spark, "bronze", catalog)
     now = datetime.now()
 
     def copy(table: str) -> int:
         source = None if sources is None else sources[table]
-        return copy_raw_to_bronze(spark, table, mode, now, source, catalog, folder)
+        return copy_raw_to_bronze(spark, table, mode, now, source, catalog, folder, schema)
 
     return write_each(spark, tables, copy, at_once)

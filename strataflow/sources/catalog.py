@@ -2,7 +2,7 @@
 
 Names follow ``<layer>.<layer>_<table>``, for example ``silver.silver_users``; a catalog name may
 be put in front.  Tables are Parquet: open-source Spark has no built-in format that replaces a
-table and its schema in one commit, so ``overwrite`` here drops and rewrites.
+table and its schema in one commit, so ``overwrite`` here writes beside the old table and swaps the names.
 """
 
 from __future__ import annotations

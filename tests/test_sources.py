@@ -166,3 +166,16 @@ def test_full_pipeline_equals_the_lakehouse(spark, small_lake):
         assert stored.columns == plan.columns
         assert stored.exceptAll(plan).count() == 0 and plan.exceptAll(stored).count() == 0
     assert src.layer_manifest(spark, "gold").count() >= len(GOLD_TABLES)
+
+
+def test_bronze_query_touches_no_table_of_the_user(spark):
+    from tests.conftest import SMALL
+    from verification.queries import registered
+
+    src.ensure_schema(spark, "bronze")
+    src.write_table(spark.range(3), "bronze.bronze_users")
+    before = {s.name for s in spark.catalog.listDatabases()}
+    rows = registered()["bronze_ingest"](spark, SMALL).collect()
+    assert rows and all(r.success and r.rows > 0 for r in rows)
+    assert spark.table("bronze.bronze_users").count() == 3
+    assert {s.name for s in spark.catalog.listDatabases()} == before

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -89,7 +90,12 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _(l: Lakehouse) -> DataFrame:
     sources = {t: l.raw(t).select(*RAW_SCHEMAS[t].names) for t in TABLES}
     folder = shared_folder(l.spark, "bronze")
-    return ingest_all(l.spark, sources=sources, folder=folder).select("table", "success", "rows")
+    schema = f"bronze_{uuid.uuid4().hex}"  # of its own: a query replaces no table of the user
+    l.spark.sql(f"CREATE SCHEMA {schema}")
+    try:
+        return ingest_all(l.spark, sources=sources, folder=folder, schema=schema).select("table", "success", "rows")
+    finally:
+        l.spark.sql(f"DROP SCHEMA {schema} CASCADE")
 
 
 @query("bronze_source_files")
