@@ -291,6 +291,11 @@ def near_groups(
     linked with nothing, not even each other.  Null ids never become a component's id unless it has no other;
     rows that repeat an id are linked like others, and are all kept if the id is the component's.
     """
+    return _rooted(docs, id_col, text, shingle, percent).drop("root")
+
+
+def _rooted(docs: DataFrame, id_col: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """``near_groups`` with ``root``, which tells components apart whatever their ids; null for rows without words."""
     rows = keep(sketch(docs, id_col, text, shingle), "sketch")
     nodes = keep(
         rows.where("digest is not null")
@@ -333,12 +338,12 @@ def near_groups(
 
     labelled = nodes.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_digest = labelled.join(ids, "root").select("digest", "component_id")
+    by_digest = labelled.join(ids, "root").select("digest", "root", "component_id")
     joined = rows.join(by_digest, "digest", "left").withColumn(
         "component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
     return joined.select(
-        "doc_id", "print", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        "doc_id", "print", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "root"
     )
 
 
@@ -356,12 +361,14 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each component; columns as they were.
 
-    Rows that repeat both id and text are one row; of several texts under the component's id one stays."""
+    Rows that repeat both id and text are one row.  Of a component the row with its smallest id stays (a null id only
+    if there is no other), then the one with the smallest print; components that share an id, or have none, keep a row each."""
     key = fresh(docs, "print")
-    groups = near_groups(docs, id_col, text, shingle, percent).where("kept")
-    stays = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min("print").alias(key))
-    empty = groups.where("n_shingles = 0").select("component_id", F.col("print").alias(key)).distinct()
-    kept = stays.select(F.col("component_id").alias(f"{key}_id"), F.col(key).alias(f"{key}_kept")).union(empty)
+    groups = _rooted(docs, id_col, text, shingle, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first")
+    stays = groups.where("root is not null").groupBy("root").agg(first).select("first.doc_id", "first.print")
+    empty = groups.where("root is null").select("doc_id", "print").distinct()
+    kept = stays.union(empty).toDF(f"{key}_id", f"{key}_kept")
     marked = docs.withColumn(key, F.xxhash64(col(text)))
     same = col(id_col).cast("long").eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_kept"))
     return marked.join(kept, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -164,6 +164,18 @@ def test_drop_near_copies_leaves_one_row_of_each_group(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_drop_near_copies_keeps_texts_that_share_an_id_or_have_none(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(40)) for _ in range(8)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[3:7]] + [(7, texts[6] + " z"), (9, texts[7]), (None, texts[7] + " z")]
+    rows += [(None, texts[0] + " z"), (8, texts[3] + " z"), (None, None), (7, ""), (7, texts[5])]
+    out = [(r.doc_id, r.text) for r in near_dedup.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()]
+    assert len(out) == len(set(out)) and {(None, None), (7, "")} <= set(out)
+    left = [(i, t.removesuffix(" z")) for i, t in out if t]
+    want = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:7]] + [(9, texts[7])]
+    assert sorted(left, key=str) == sorted(want, key=str)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "u long, v long")
     got = {r.node: r.root for r in near_dedup.components(links).collect()}
