@@ -4,7 +4,9 @@ A page is cut into blocks at block-level tags.  First pass: link density, length
 decide a block (content or boilerplate) or leave it open (short or in between).  Second pass: an open
 block takes the label of its nearest decided neighbours, content only if they agree.  The page's own
 markup comes before both: what stands in menus, footers, forms, adverts or comments is boilerplate,
-and blocks inside the article element start as content, whatever their length.
+and blocks inside the article element start as content, whatever their length.  A form, or a wrapper that
+only tells its layout (``has-sidebar``), is beside the article only if it holds neither an article nor content; an
+article inside any wrapper starts afresh, and where the wrapper is a named part it counts if no other does.
 
 Pages stream through Arrow batches in place; a page is held by one task, one at a time.
 """
@@ -44,6 +46,8 @@ BESIDE_WORDS = re.compile(
     r"pagination|pager|masthead|complementary|contentinfo|search)(?:$|[\s_-])",
     re.I,
 )
+# With one of these words, or with a listed word after the first, a name tells how a wrapper is laid out.
+LAYOUT_WORDS = frozenset("layout page template enabled active open".split())
 MAIN = frozenset("article main".split())
 MAIN_WORDS = re.compile(
     r"(?:^|[\s_-])(?:article|article-body|post|post-content|entry|entry-content|story|main-content)(?:$|[\s_-])", re.I
@@ -69,6 +73,25 @@ _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 
 
+@dataclass(eq=False)
+class Mark:
+    """An element that looks like a part beside the article."""
+
+    kind: str  # element: aside by its tag; named: by a name of its own; hint: a form, or a wrapper's layout
+    holds: bool = False  # an article or content after all
+
+
+def named_beside(names: str) -> str:
+    """named, hint or nothing, by the words of class, id and role."""
+    found = ""
+    for name in names.split():
+        hit = BESIDE_WORDS.search(name)
+        if hit and hit.start() == 0 and LAYOUT_WORDS.isdisjoint(re.split("[_-]", name.lower())):
+            return "named"
+        found = "hint" if hit else found
+    return found
+
+
 @dataclass
 class Block:
     """A run of text between block-level tags."""
@@ -76,9 +99,15 @@ class Block:
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     inside: bool = False  # of the article
-    beside: bool = False  # of anything that is not the article
+    marks: tuple[Mark, ...] = ()  # open around it, opened within its innermost article
+    second: bool = False  # in an article inside a part that is named as beside
     heading: bool = False
 
+    @property
+    def beside(self) -> bool:
+        """In a part that is not the article."""
+        return any(not m.holds for m in self.marks)
+
     def text(self) -> str:
         return _SPACE.sub(" ", "".join(self.parts)).strip()
 
@@ -89,8 +118,8 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, str]] = []  # (tag, what it means: unseen, beside, main or nothing)
-        self.unseen = self.beside = self.main = self.links = 0
+        self.open: list[tuple[str, str, Mark | None]] = []  # (tag, what it means: unseen, beside, main, fresh or nothing)
+        self.unseen = self.main = self.links = 0
         self.block = Block()
 
     def _meaning(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
@@ -102,20 +131,35 @@ class _Blocks(HTMLParser):
         if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", ""), re.I):
             return "unseen"
         named = " ".join(values.get(k, "") for k in ("class", "id", "role"))
+        if tag == "form":
+            return "hint"
         if tag in BESIDE or (tag == "header" and not self.main):
-            return "beside"
-        if tag not in ("body", "html", "article", "main") and named.strip() and BESIDE_WORDS.search(named):
-            return "beside"
-        if tag in MAIN or (named.strip() and MAIN_WORDS.search(named)):
+            return "element"
+        kind = named_beside(named)
+        if tag in MAIN:
+            around = [m.kind for m in self._marks()]
+            # a comment or a teaser among others is an article element too: its own name tells
+            return "main" if "element" in around or ("named" in around and kind == "named") else "fresh"
+        if tag not in ("body", "html") and kind:
+            return kind
+        if named.strip() and MAIN_WORDS.search(named):
             return "main"
         return ""
 
+    def _marks(self) -> tuple[Mark, ...]:
+        """The marks that were opened within the innermost article."""
+        out: list[Mark] = []
+        for _, meaning, mark in reversed(self.open):
+            if meaning == "fresh":
+                break
+            if mark:
+                out.append(mark)
+        return tuple(out)
+
     def _count(self, meaning: str, step: int) -> None:
         if meaning == "unseen":
             self.unseen += step
-        elif meaning == "beside":
-            self.beside += step
-        elif meaning == "main":
+        elif meaning in ("main", "fresh"):
             self.main += step
 
     def _cut(self, heading: bool = False) -> None:
@@ -132,7 +176,7 @@ class _Blocks(HTMLParser):
             if self.open and self.open[-1][0] == other:
                 self.handle_endtag(other)
         if tag in BLOCKS:
-            if tag != "title" and self.unseen and any(t == "head" for t, _ in self.open):
+            if tag != "title" and self.unseen and any(x[0] == "head" for x in self.open):
                 self.handle_endtag("head")  # its end tag may be left out
             if self.open and self.open[-1][0] == "p":  # a block-level tag ends a paragraph
                 self.handle_endtag("p")
@@ -140,7 +184,10 @@ class _Blocks(HTMLParser):
         if tag in VOID:
             return
         meaning = self._meaning(tag, attrs)
-        self.open.append((tag, meaning))
+        if meaning == "fresh":
+            for mark in self._marks():
+                mark.holds |= mark.kind == "hint"
+        self.open.append((tag, meaning, Mark(meaning) if meaning in ("element", "named", "hint") else None))
         self._count(meaning, 1)
         self.links += tag == "a"
 
@@ -155,13 +202,13 @@ class _Blocks(HTMLParser):
         depth = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
         if depth is None:
             return
-        if tag not in BLOCKS and any(t in BLOCKS for t, _ in self.open[depth + 1 :]):
+        if tag not in BLOCKS and any(x[0] in BLOCKS for x in self.open[depth + 1 :]):
             # an inline element left open around blocks: only it goes
             gone = [self.open.pop(depth)]
         else:
             gone = self.open[depth:]
             del self.open[depth:]
-        for name, meaning in gone:
+        for name, meaning, _ in gone:
             self._count(meaning, -1)
             self.links -= name == "a"
 
@@ -170,7 +217,8 @@ class _Blocks(HTMLParser):
             return
         block = self.block
         if not block.parts:
-            block.inside, block.beside = self.main > 0, self.beside > 0
+            block.inside, block.marks = self.main > 0, self._marks()
+            block.second = any(mark and mark.kind == "named" for *_, mark in self.open)
         block.parts.append(data)
         if self.links:
             block.link_chars += len(data.strip())
@@ -187,11 +235,16 @@ def blocks_of(html: str) -> list[Block]:
 
 def first_pass(block: Block) -> str:
     """content, boilerplate, or open (short, or in between)."""
-    text = block.text()
     if block.beside:
         return "boilerplate"
     if block.inside:
         return "content"
+    return text_label(block)
+
+
+def text_label(block: Block) -> str:
+    """The label by the block's text alone."""
+    text = block.text()
     if block.link_chars > LINK_HIGH * len(text):
         return "boilerplate"
     if len(text) < LENGTH_SHORT:
@@ -220,6 +273,17 @@ def second_pass(labels: list[str]) -> list[str]:
     return [b if b == a else "boilerplate" for b, a in zip(before, after)]
 
 
+def _clear_marks(blocks: list[Block]) -> None:
+    """Wrappers that hold content are not beside: forms and layouts always, named parts where nothing else is left."""
+    for kinds in (("hint",), ("hint", "named")):
+        for b in blocks:
+            if b.beside and all(m.kind in kinds for m in b.marks) and text_label(b) == "content":
+                for m in b.marks:
+                    m.holds = True
+        if any(not b.beside and (b.inside or text_label(b) == "content") for b in blocks):
+            break
+
+
 def main_text(html: str | None) -> str:
     """The main text: content blocks in page order, one line each.  Null and empty pages have none.
 
@@ -227,9 +291,12 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
+    _clear_marks(blocks)
     labels = [first_pass(b) for b in blocks]
     if any(b.inside and not b.beside for b in blocks):
-        labels = [label if b.inside else "boilerplate" for b, label in zip(blocks, labels)]
+        first = any(b.inside and not b.beside and not b.second and not b.heading for b in blocks)
+        counts = [b.inside and not (first and b.second) for b in blocks]
+        labels = [label if counted else "boilerplate" for counted, label in zip(counts, labels)]
     return "\n".join(b.text() for b, label in zip(blocks, second_pass(labels)) if label == "content")
 
 

@@ -293,6 +293,26 @@ def test_pages_without_article_are_judged_by_their_text():
     assert html_text.second_pass(["open", "content", "open", "boilerplate", "open"]) == ["boilerplate", "content", "boilerplate", "boilerplate", "boilerplate"]
 
 
+PROSE = "It was the best of times, it was the worst of times, and all of it is in the book that was on the table. " * 3
+WRAPPED = {
+    "<div class='has-sidebar'><article><p>a</article></div>": "a",
+    "<div class='x no-sidebar'><div id=with-comments><main><h1>t</h1><p>a</main></div></div>": "t\na",
+    "<form id=page><nav>n</nav><article>a<div class=ad>b</div></article><p>c</form>": "a",
+    "<main><h1>t</h1><div class='layout-menu'><h2>u</h2><article>a</article></div></main>": "t\nu\na",
+    "<main><div class=menu-page><article>a</article></div></main>": "a",
+    "<article><p>a</p><section id=comments><article class=comment>me</article><article>too</article></section></article>": "a",
+    "<article>a<aside><article>b</article></aside></article>": "a",
+    f"<form><ul><li><a href=1>one</a></ul><div>{PROSE}</div></form>": PROSE.strip(),
+    f"<div class=search><p>{PROSE}</p></div>": PROSE.strip(),
+    f"<p>{PROSE}</p><div class=comments><p>{PROSE}</p></div>": PROSE.strip(),
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_wrappers_do_not_hide_the_article(page):
+    assert html_text.main_text(page) == WRAPPED[page]
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "v", "<p"), (3, "u", "<article>" + "<p>x</p>" * 20_000), (3, "u", "<b>" * 500)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("blocks", F.lit(1))
