@@ -2,7 +2,7 @@
 
 A page is cut into blocks at block-level tags.  First pass: link density, length and stop-word density
 decide a block (content or boilerplate) or leave it open (short or in between).  Second pass: an open
-block takes the label of its nearest decided neighbours, content only if they agree.  The page's own
+block takes the label of its nearest decided neighbour, a heading that of what follows it.  The page's own
 markup comes before both: what stands in menus, footers, forms, adverts or comments is boilerplate,
 and blocks inside the article element start as content, whatever their length.  A form, or a wrapper that
 only tells its layout (``has-sidebar``), is beside the article only if it holds neither an article nor content; an
@@ -65,7 +65,16 @@ STOP_WORDS = frozenset(
     "el los las y que en del se por un una con no para es al lo como más su".split()
 )
 
+# Blocks of nothing but such words stand at the foot of a page.
+FOOT = re.compile(
+    r"(?:imprint|impressum|legal notice|mentions légales|aviso legal|privacy(?: policy)?|datenschutz|terms(?: of (?:use|service))?|"
+    r"contact|kontakt|copyright|all rights reserved)\W*|(?:copyright\s*)?(?:©|\(c\)).{0,80}",
+    re.I,
+)
+
 LENGTH_SHORT, LENGTH_LONG = 70, 200
+#: Share of stop words on a page under which its language is not one of theirs.
+STOP_KNOWN = 0.05
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 LINK_HIGH = 0.33
 
@@ -242,12 +251,16 @@ def first_pass(block: Block) -> str:
     return text_label(block)
 
 
+def _linked(block: Block, text: str) -> bool:
+    return block.link_chars > LINK_HIGH * len(text)
+
+
 def text_label(block: Block) -> str:
     """The label by the block's text alone."""
     text = block.text()
-    if block.link_chars > LINK_HIGH * len(text):
+    if _linked(block, text) or FOOT.fullmatch(text):
         return "boilerplate"
-    if len(text) < LENGTH_SHORT:
+    if len(text) < LENGTH_SHORT or block.heading:
         return "open"
     words = _WORD.findall(text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
@@ -259,7 +272,7 @@ def text_label(block: Block) -> str:
 
 
 def second_pass(labels: list[str]) -> list[str]:
-    """Open blocks inherit from the nearest decided neighbours; boilerplate if those differ or there are none."""
+    """The strict rule: open blocks are content between content only.  Pages go through ``settled``."""
     before, after = [], []
     last = "boilerplate"
     for label in labels:
@@ -273,6 +286,42 @@ def second_pass(labels: list[str]) -> list[str]:
     return [b if b == a else "boilerplate" for b, a in zip(before, after)]
 
 
+def settled(blocks: list[Block], labels: list[str]) -> list[str]:
+    """Open blocks take the label of the nearest decided neighbour, counted in blocks; content on a tie.
+
+    The ends of a page decide nothing.  A heading takes the label of the block after it.  Where nothing is content, what
+    is open is: nothing tells it from the article."""
+    if "content" not in labels:
+        return ["content" if label == "open" else label for label in labels]
+    far = len(labels) + 1
+    before, after = [(far, "")] * len(labels), [(far, "")] * len(labels)
+    for out, order in ((before, range(len(labels))), (after, range(len(labels) - 1, -1, -1))):
+        at, last = None, ""
+        for k in order:
+            if labels[k] != "open":
+                at, last = k, labels[k]
+            if at is not None:
+                out[k] = abs(k - at), last
+    found = []
+    for (d, one), (e, other) in zip(before, after):
+        found.append("content" if d == e and "content" in (one, other) else one if d <= e else other)
+    for k in range(len(labels) - 2, -1, -1):
+        if labels[k] == "open" and blocks[k].heading:
+            found[k] = found[k + 1]
+    return found
+
+
+def _without_stop_words(blocks: list[Block], labels: list[str]) -> list[str]:
+    """On a page in another language, length and links decide alone."""
+    texts = [b.text() for b in blocks]
+    plain = [not b.beside and not _linked(b, t) and not FOOT.fullmatch(t) for b, t in zip(blocks, texts)]
+    words = [w for t, p in zip(texts, plain) if p for w in _WORD.findall(t.lower())]
+    if sum(w in STOP_WORDS for w in words) >= STOP_KNOWN * len(words):
+        return labels
+    free = [p and not b.inside and not b.heading for p, b in zip(plain, blocks)]
+    return [("content" if len(t) >= LENGTH_SHORT else "open") if f else label for f, t, label in zip(free, texts, labels)]
+
+
 def _clear_marks(blocks: list[Block]) -> None:
     """Wrappers that hold content are not beside: forms and layouts always, named parts where nothing else is left."""
     for kinds in (("hint",), ("hint", "named")):
@@ -297,7 +346,9 @@ def main_text(html: str | None) -> str:
         first = any(b.inside and not b.beside and not b.second and not b.heading for b in blocks)
         counts = [b.inside and not (first and b.second) for b in blocks]
         labels = [label if counted else "boilerplate" for counted, label in zip(counts, labels)]
-    return "\n".join(b.text() for b, label in zip(blocks, second_pass(labels)) if label == "content")
+    else:
+        labels = _without_stop_words(blocks, labels)
+    return "\n".join(b.text() for b, label in zip(blocks, settled(blocks, labels)) if label == "content")
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

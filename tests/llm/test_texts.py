@@ -308,6 +308,23 @@ WRAPPED = {
 }
 
 
+NAV = "<nav>n</nav><div><a href=1>one</a> <a href=2>two</a></div>"
+FOREIGN = "Привет как дела это другой алфавит и здесь нет других слов кроме этих слов совсем. "
+UNMARKED = {
+    f"{NAV}<h1>Title</h1><p>{PROSE}</p><p>The end.</p><footer>f</footer>": f"Title\n{PROSE.strip()}\nThe end.",
+    f"<h1>A title that is long enough to be told from short blocks, but has few small words</h1><div>{PROSE}</div>": "A title that is long enough to be told from short blocks, but has few small words\n" + PROSE.strip(),
+    f"<p>By her.</p><p>{PROSE}</p><p>The end.</p>": f"By her.\n{PROSE.strip()}\nThe end.",
+    f"{NAV}<p>One.</p><p>Two, short.</p><p>Three.</p><footer>f</footer>": "One.\nTwo, short.\nThree.",
+    f"{NAV}<p>{FOREIGN}</p><p>Да.</p><p>{FOREIGN * 3}</p><footer>f</footer>": f"{FOREIGN.strip()}\nДа.\n{(FOREIGN * 3).strip()}",
+    f"<div>{PROSE}</div><h2>More</h2><ul><li><a href=1>one</a></ul><p>Short.</p><ul><li><a href=1>two</a></ul><div>© 2020 us</div>": PROSE.strip(),
+}
+
+
+@pytest.mark.parametrize("page", UNMARKED)
+def test_unmarked_pages_keep_titles_endings_and_short_paragraphs(page):
+    assert html_text.main_text(page) == UNMARKED[page]
+
+
 @pytest.mark.parametrize("page", WRAPPED)
 def test_wrappers_do_not_hide_the_article(page):
     assert html_text.main_text(page) == WRAPPED[page]
