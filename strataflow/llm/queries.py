@@ -70,12 +70,29 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, then pages (``kind``): each by its own evidence, the text model fitted on labelled documents.
+
+    ``doc_id`` is null on pages, ``page_id`` on documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    judged = language.identify(docs, language.fit(docs), declared="lang", host="source")
+    model = language.fit(docs)
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", language.markup_language(F.col("html")).alias("lang"), language.host_of(F.col("url")).alias("host"), "html"
+    )
+    pages = html_text.extract(pages).withColumn("suffix", language.suffix_of(F.col("host")))
+    none = F.lit(None).cast("long")
+    return _judged(
+        language.identify(docs, model, declared="lang", host="source"), "document", F.col("doc_id"), none
+    ).unionByName(
+        _judged(language.identify(pages, model, declared="lang", host="host", suffix="suffix"), "page", none, F.col("page_id"))
+    )
+
+
+def _judged(rows: DataFrame, kind: str, doc_id: Column, page_id: Column) -> DataFrame:
     part = F.col("language")
-    return judged.select(
-        "doc_id", part["best"].alias("language"), part["posterior"].alias("posterior"),
+    return rows.select(
+        doc_id.cast("long").alias("doc_id"), part["best"].alias("language"), part["posterior"].alias("posterior"),
         part["letters"].alias("letters"), part["accepted"].alias("accepted"),
+        F.lit(kind).alias("kind"), page_id.cast("long").alias("page_id"),
     )
 
 

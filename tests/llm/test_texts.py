@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from strataflow.llm import bpe, chat, html_text, language, maxent_lm, pii
+from strataflow.llm.queries import op7_language_id
 from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string"
@@ -230,6 +231,21 @@ def test_markup_and_addresses(spark):
 
 def score_by_hand(rows):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def test_language_query_judges_pages_by_all_evidence(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    pages = [(k, f"http://h{k}.x.{end}/", f"<html lang={lang}><article>{'in' if lang == 'de' else 'un'}</article>") for k, (end, lang) in enumerate([("de", "de"), ("fr", "fr-FR"), ("com", "es")])]
+    pages += [(None, None, None), (3, "http://h3.x.de/", "<article>in</article>")]
+    given = spark.read.parquet(f"{SMALL}/pages.parquet")
+    given.union(spark.createDataFrame(pages, given.schema)).write.parquet(f"{tmp_path}/pages.parquet")
+    got = op7_language_id(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got if r.kind == "document") == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    judged = [r for r in got if r.kind == "page"]
+    assert len(judged) == given.count() + len(pages) and all(r.doc_id is None for r in judged)
+    short = {(r.page_id, r.language) for r in judged if r.letters == 2}
+    assert {(1, "fr"), (2, "es")} <= short  # one word in both: markup and address tell
+
+
     tokens = [[x for x in re.split("[\x20\x09-\x0D]+", (t or "").translate(low)) if x] + [None] for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in rows]
     counts = collections.Counter(x for ts, h in zip(tokens, held) if not h for x in ts)
