@@ -265,14 +265,31 @@ def _dense(entries: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "shingle"))
     placed = rows.join(counts, "shingle").withColumn("place", place)
     first = keep(placed.where(f"place <= n - ceil({percent} * n / 100) + 1").drop("times"), "first-shingles")
-    fewer = first.where(f"place <= n - ceil({2 * percent} * n / {100 + percent}) + 1").select(
-        "shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("place").alias("at")
-    )
     enough = f"{100 + percent} * (1 + least(n - place, m - at)) >= {percent} * (n + m)"
-    met = first.join(fewer, "shingle").where("root <> r").where("m < n or (m = n and other < node)")
+    (a, b), (c, d) = _sides(keep(_with_main(first), "main-shingles"), percent)
+    met = a.join(b, "shingle").unionByName(c.join(d, "shingle")).where("root <> r").where("m < n or (m = n and other < node)")
     return _ordered(met.where(enough).where(_similar_size(percent)))
 
 
+def _with_main(first: DataFrame) -> DataFrame:
+    """``first`` with the largest component of each shingle, of the shingles that hold more than one."""
+    sizes = first.groupBy("shingle", "root").agg(F.count("*").alias("size"))
+    mains = sizes.groupBy("shingle").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots"))
+    return first.join(mains.where("roots > 1").drop("roots"), "shingle")
+
+
+def _sides(first: DataFrame, percent: int) -> list[tuple[DataFrame, DataFrame]]:
+    """The sides of the joins on shingles: larger sets, smaller sets.  In each, one side holds only nodes outside their
+    shingle's largest component, so that a group never meets itself; together they hold every pair of two components."""
+    fewer = first.where(f"place <= n - ceil({2 * percent} * n / {100 + percent}) + 1").select(
+        "shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("place").alias("at"), "main"
+    )
+    return [
+        (first.where("root <> main").drop("main"), fewer.drop("main")),
+        (first.where("root = main").drop("main"), fewer.where("r <> main").drop("main")),
+    ]
+
+
 def _last_round(entries: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """All pairs of different components that meet under a key and may be links."""
     entries = keep(entries, "apart")

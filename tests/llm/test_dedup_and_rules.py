@@ -162,6 +162,16 @@ def test_drop_near_copies_leaves_one_row_of_each_group(spark):
     want = {c if n else i for i, n, c in near_by_hand(rows, 5)} - {None}
     got = [r.doc_id for r in out.collect()]
     assert sorted(got) == sorted(want)
+def test_a_group_does_not_meet_itself_under_a_shingle(spark):
+    """100 near copies and one outsider share a rare shingle: about as many rows meet, not their square."""
+    rows = [(5, k, 100, 0 if k < 100 else 100, 1) for k in range(101)] + [(6, k, 100, 0, 2) for k in range(100)]
+    first = spark.createDataFrame(rows, "shingle long, node long, n long, root long, place long")
+    met = [a.join(b, "shingle").select("node", "other", "root", "r") for a, b in near_dedup._sides(near_dedup._with_main(first), 80)]
+    got = [tuple(r) for part in met for r in part.collect()]
+    assert len(got) <= 201 and len(got) == len(set(got))
+    assert {(a, b) for a, b, x, y in got if x != y} == {p for k in range(100) for p in ((k, 100), (100, k))}
+
+
 
 
 def test_drop_near_copies_keeps_texts_that_share_an_id_or_have_none(spark):
