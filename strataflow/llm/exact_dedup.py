@@ -142,12 +142,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     stays, then the smallest id.  Null text: empty.  A null id loses every tie against another; rows that
     repeat id and text are members of their own, and all carry the id that stays: exactly one of them is kept.  An empty table gives no row.
     """
+    return _grouped(docs, id_col, text).drop("n_points", "print")
+
+
+def _grouped(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``exact_groups`` with ``n_points`` and a ``print`` of the text as it is, which tell a row from others of its id and group."""
     named = document_names(
-        docs.select(col(id_col).cast("long").alias("doc_id"), col(text).alias("text"))
+        docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("print"), col(text).alias("text"))
     )
-    # longest first, then the smallest id, then the row number among repeated ids
+    # longest first, then the smallest id, then the print and the row number among repeated ids
     order = F.struct(
-        F.col("n_points").alias("l"), (-F.col("doc_id")).alias("i"), (-F.col("_rid")).alias("r")
+        F.col("n_points").alias("l"), (-F.col("doc_id")).alias("i"), F.col("print").alias("p"), (-F.col("_rid")).alias("r")
     )
     groups = named.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.max(order).alias("best"))
     joined = named.join(groups, ["level", "name"])
@@ -157,6 +162,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         "group_size",
         (F.col("_rid") == -F.col("best.r")).alias("kept"),
         "text_sha256",
+        "n_points",
+        "print",
     )
 
 
@@ -164,9 +171,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """``docs`` without the rows that ``exact_groups`` drops; columns as they were.
 
     Rows that repeat both id and text are copies too: one of them stays (combined before any shuffle)."""
-    key = fresh(docs, "digest")
-    kept = exact_groups(docs, id_col, text).where("kept")
-    kept = kept.select(F.col("doc_id").alias(f"{key}_id"), F.col("text_sha256").alias(f"{key}_kept"))
-    marked = docs.withColumn(key, F.sha2(squeeze(col(text)).cast("binary"), 256))
+    key = fresh(docs, "row")
+    kept = _grouped(docs, id_col, text).where("kept")
+    row = F.struct(F.col("text_sha256").alias("a"), F.col("n_points").alias("b"), F.col("print").alias("c"))
+    kept = kept.select(F.col("doc_id").alias(f"{key}_id"), row.alias(f"{key}_kept"))
+    digest = F.sha2(squeeze(col(text)).cast("binary"), 256)
+    n_points = F.coalesce(F.length(col(text)), F.lit(0)).cast("long")
+    marked = docs.withColumn(key, F.struct(digest.alias("a"), n_points.alias("b"), F.xxhash64(col(text)).alias("c")))
     same = col(id_col).cast("long").eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_kept"))
     return marked.join(kept, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -70,6 +70,14 @@ def test_drop_copies_keeps_columns_and_one_of_repeated_rows(spark):
     assert sorted(r.doc_id for r in out.collect()) == [3, 6, 9, 10, 12, 13, 14]
 
 
+def test_drop_copies_keeps_the_longest_of_rows_that_share_an_id(spark):
+    rows = [(1, "a b"), (1, "a  b "), (1, "ab"), (2, "a   b   "), (2, "ab"), (3, "x"), (3, " x "), (3, "x  "), (4, None), (4, "")]
+    for order in (rows, rows[::-1]):
+        out = [(r.doc_id, r.text) for r in exact_dedup.drop_copies(spark.createDataFrame(order, DOCS).repartition(3)).collect()]
+        assert (2, "a   b   ") in out and len(out) == 3
+        assert {len(t) for i, t in out if i == 3} == {3}
+
+
 @pytest.mark.parametrize("run", [exact_dedup.exact_groups, near_dedup.near_groups, exact_dedup.drop_copies, near_dedup.drop_near_copies])
 def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], DOCS)).collect() == []
