@@ -98,7 +98,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def _ips(text: str) -> Iterator[tuple[int, int]]:
     for found in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in found[0].split(".")):
+        parts = [part.lstrip("0") or "0" for part in found[0].split(".")]
+        if all(len(part) <= 3 and int(part) <= 255 for part in parts):
             yield found.span()
 
 

@@ -174,6 +174,11 @@ def test_long_runs_take_linear_time(text):
     assert pii.find_spans(text) == [] or len(text) > 0
 
 
+def test_long_leading_zeros_are_a_number():
+    text = "at " + "0" * 5000 + "1.2.3.4 and 1.2.3." + "0" * 5000 + "256"
+    assert [s[:3] for s in pii.find_spans(text) if s.kind == "ip"] == [("ip", 3, 5010)]
+
+
 def test_personal_data_on_odd_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a@b.co"), (3, "a@b.co"), (3, "a@b.co")], DOCS).withColumn("spans", F.lit(0))
     got = sorted(((str(r.doc_id), len(r.spans)) for r in pii.personal_data(docs).collect()))
