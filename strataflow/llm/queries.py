@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, chat, decontaminate, exact_dedup, html_text, language, maxent_lm, near_dedup, pii, url_rules
+from strataflow.llm import bpe, chat, conversation_repair, decontaminate, exact_dedup, hard_negatives, html_text
+from strataflow.llm import jaccard_join, language, maxent_lm, near_dedup, pii, url_rules
 from strataflow.llm.common import table
 
 
@@ -110,9 +111,27 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; a seventh of the labels is moved to the next class."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = hard_negatives.prepare(table(spark, sf_dir, "embeddings"), label=moved)
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.chat_rows(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repaired_digests(conversation_repair.damaged(rows))
+
+
 QUERIES = (
     op1_chat_format, op2_exact_dedup, op3_bpe, op4_personal_data, op5_decontamination, op6_url_rules, op7_language_id, op8_lm_scores, op9_near_dedup,
-    op10_html_text,
+    op10_html_text, op11_jaccard_join, op12_hard_negatives, op13_conversation_repair,
 )
 
 
@@ -121,6 +140,28 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 SQL = {
+    "op12_hard_negatives": """
+        WITH given AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, embedding
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS (SELECT r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM given),
+        s AS (
+            SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+        p AS (
+            SELECT ar, anchor_id, br, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score,
+               score AS negative_score
+        FROM p JOIN s ON p.ar = s.ar AND NOT same
+         AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY p.ar, p.br ORDER BY score DESC, s.vec_id)
+        QUALIFY row_number() OVER w <= 10
+    """,
     "op2_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
