@@ -51,6 +51,12 @@ def local_session(
     return spark
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; a missing one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @cache
 def _local_folder() -> str:
     folder = tempfile.mkdtemp(prefix="strataflow-")

@@ -2,7 +2,9 @@
 
 Names follow ``<layer>.<layer>_<table>``, for example ``silver.silver_users``; a catalog name may
 be put in front.  Tables are Parquet: open-source Spark has no built-in format that replaces a
-table and its schema in one commit, so ``overwrite`` here writes beside the old table and swaps the names.
+table and its schema in one commit.  So each full write makes a version, a table ``<name>__v_<id>`` of its own, and
+the name itself is a view of the newest one, replaced by a single change in the catalog.  A reader finds the old
+version or the new one, never none.  The view also carries the row count, so a manifest reads no data.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_folder
+
 LAYERS = ("raw", "bronze", "silver", "gold")
 
 
@@ -34,6 +38,10 @@ def _ident(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
 
+def _ident_part(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def read_table(
     spark: SparkSession, name: str, schema: T.StructType | None = None, path: str | None = None
 ) -> DataFrame:
@@ -61,8 +69,9 @@ def list_schemas(spark: SparkSession) -> list[str]:
 
 
 def list_tables(spark: SparkSession, layer: str, catalog: str | None = None) -> list[str]:
+    """Names of the tables, not of their versions."""
     return sorted(
-        t.name for t in spark.catalog.listTables(layer_schema(layer, catalog)) if not t.isTemporary
+        t.name for t in spark.catalog.listTables(layer_schema(layer, catalog)) if not t.isTemporary and VERSION not in t.name
     )
 
 
@@ -82,57 +91,128 @@ def add_source_file(df: DataFrame, column: str = "source_file") -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
+VERSION = "__v_"
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_ident(name)}").collect()}
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def _publish(
+    spark: SparkSession, name: str, version: str, rows: int, previous: str | None, comment: str | None, columns: Mapping[str, str]
+) -> None:
+    """Let ``name`` show ``version``: one change in the catalog."""
+    shown = ", ".join(
+        _ident_part(c) + (f" COMMENT {_text(columns[c])}" if columns.get(c) else "") for c in spark.table(version).columns
+    )
+    props = {"version": version, "row_count": rows, **({"previous": previous} if previous else {})}
+    pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in props.items())
+    about = f" COMMENT {_text(comment)}" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {_ident(name)} ({shown}){about} TBLPROPERTIES ({pairs}) AS SELECT * FROM {_ident(version)}")
+
+
+def _drop_version(spark: SparkSession, version: str) -> None:
+    """Drop a version and, where it has a path of its own, its files."""
+    if not spark.catalog.tableExists(version):
+        return
+    where = [r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {_ident(version)}").collect() if r["col_name"] == "Location"]
+    spark.sql(f"DROP TABLE {_ident(version)}")
+    for location in where:
+        remove_folder(spark, location)
+
+
+def _write_rows(
+    df: DataFrame, name: str, mode: str, partition_by: Sequence[str], bucket_by: tuple[int, str] | None, path: str | None
+) -> int:
+    """Rows are counted while they are written, so there is no second pass over the input."""
+    seen = Observation()
+    if bucket_by:
+        df = df.repartition(*bucket_by)  # one file a bucket
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return int(seen.get["rows"])
+
+
 def write_table(
     df: DataFrame,
     name: str,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     path: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
 ) -> int:
-    """Write a table and return its row count.
+    """Write a table and return the number of rows written.
 
-    Rows are counted while they are written, so there is no second pass over the input.
-    ``partition_by`` is meant for columns with few values (year, month) that readers filter on.
+    ``partition_by`` is meant for columns with few values (year, month) that readers filter on; ``bucket_by`` (number, column)
+    for a unique key that large tables are joined on, so that they meet without a shuffle.
 
-    An overwrite writes the new rows beside the old table and swaps the names afterwards, so a write
-    that fails leaves the old table as it was, and ``df`` may read the table it replaces.  Files of an old
-    table with a ``path`` of its own stay where they are.
+    An overwrite writes a new version and then points the name at it, so a write that fails leaves the table as it
+    was, a reader always finds one, and ``df`` may read the table it replaces.  The version before stays for those who
+    still read it; the one before that is dropped.  Comments are kept.  An append goes into the current version.
+    Writers do not disturb each other: the one that ends last is the one shown.
     """
     spark = df.sparkSession
-    if mode == "overwrite" and spark.catalog.tableExists(name):
-        staged = f"{name}__next"
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        rows = write_table(df, staged, mode, partition_by, f"{path.rstrip('/')}-{uuid.uuid4().hex}" if path else None)
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(name.split('.')[-2:])}")
+    known = spark.catalog.tableExists(name)
+    managed = known and _is_view(spark, name)
+    if mode == "append" and known:
+        if not managed:
+            return _write_rows(df, name, mode, partition_by, bucket_by, path)
+        now = _properties(spark, name)
+        rows = _write_rows(df, now["version"], mode, partition_by, bucket_by, None)
+        spark.sql(f"ALTER VIEW {_ident(name)} SET TBLPROPERTIES ('row_count' = {_text(int(now['row_count']) + rows)})")
         return rows
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return int(seen.get["rows"])
+    version = f"{name}{VERSION}{uuid.uuid4().hex}"
+    rows = _write_rows(df, version, "errorifexists", partition_by, bucket_by, f"{path.rstrip('/')}/{uuid.uuid4().hex}" if path else None)
+    now, comment, columns = {}, None, {}
+    if managed:
+        now = _properties(spark, name)
+        comment = spark.catalog.getTable(name).description
+        columns = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
+    elif known:  # a table of another origin: it gives way once
+        spark.sql(f"DROP TABLE {_ident(name)}")
+    _publish(spark, name, version, rows, now.get("version"), comment, columns)
+    if now.get("previous"):
+        _drop_version(spark, now["previous"])
+    return rows
 
 
 def build_gold(
-    name: str, df: DataFrame, catalog: str | None = None, path: str | None = None, partition_by: Sequence[str] = ()
+    name: str,
+    df: DataFrame,
+    catalog: str | None = None,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, str] | None = None,
+    schema: str | None = None,
 ) -> int:
-    """Create or replace a gold table from a query."""
-    return write_table(
-        add_audit(df, "gold"), table_name("gold", name, catalog), partition_by=partition_by, path=path
-    )
+    """Create or replace a gold table from a query.  ``schema`` takes the place of the gold schema."""
+    target = f"{schema}.gold_{name}" if schema else table_name("gold", name, catalog)
+    return write_table(add_audit(df, "gold"), target, partition_by=partition_by, path=path, bucket_by=bucket_by)
 
 
 def build_silver(
-    name: str, df: DataFrame, catalog: str | None = None, path: str | None = None, partition_by: Sequence[str] = ()
+    name: str,
+    df: DataFrame,
+    catalog: str | None = None,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, str] | None = None,
+    schema: str | None = None,
 ) -> int:
-    """Create or replace a silver table, stamped with its bronze source."""
+    """Create or replace a silver table, stamped with its bronze source.  ``schema`` takes the place of the silver schema."""
     source = table_name("bronze", name, catalog)
-    return write_table(
-        add_audit(df, "silver", source), table_name("silver", name, catalog), partition_by=partition_by, path=path
-    )
+    target = f"{schema}.silver_{name}" if schema else table_name("silver", name, catalog)
+    return write_table(add_audit(df, "silver", source), target, partition_by=partition_by, path=path, bucket_by=bucket_by)
 
 
 def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -147,17 +227,24 @@ def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stacked.orderBy("table_name")
 
 
-def layer_manifest(spark: SparkSession, layer: str, catalog: str | None = None) -> DataFrame:
-    """Tables of a layer with row count, storage format and location."""
-    schema = layer_schema(layer, catalog)
-    names = list_tables(spark, layer, catalog)
-    return manifest({n: spark.table(f"{schema}.{n}") for n in names}).select(
+def layer_manifest(spark: SparkSession, layer: str, catalog: str | None = None, schema: str | None = None) -> DataFrame:
+    """Tables of a layer with row count, storage format and location.
+
+    Counts were taken while the tables were written and are read from the catalog: no data file is opened.  Only tables that
+    were not written by ``write_table`` are counted.  ``schema`` takes the place of the layer's schema."""
+    where = schema or layer_schema(layer, catalog)
+    stored = {}
+    for t in spark.catalog.listTables(where):
+        if not t.isTemporary and VERSION not in t.name:
+            counted = _properties(spark, f"{where}.{t.name}").get("row_count")
+            stored[t.name] = int(counted) if counted else spark.table(f"{where}.{t.name}").count()
+    return spark.createDataFrame(sorted(stored.items()), "table_name string, row_count long").select(
         "table_name",
         "row_count",
         F.lit("parquet").alias("storage_format"),
         F.lit("catalog table").alias("storage_type"),
         F.lit("Persisted").alias("status"),
-        F.lit(schema).alias("schema_location"),
+        F.lit(where).alias("schema_location"),
     )
 
 
@@ -178,7 +265,13 @@ def layer_summary(counts: DataFrame, location: str, storage_format: str = "parqu
 def comment_table(
     spark: SparkSession, name: str, comment: str | None = None, columns: Mapping[str, str] | None = None
 ) -> None:
-    """Table and column comments."""
+    """Table and column comments; later versions of the table keep them."""
+    if _is_view(spark, name):
+        now = _properties(spark, name)
+        comment = comment if comment is not None else spark.catalog.getTable(name).description
+        known = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
+        _publish(spark, name, now["version"], int(now["row_count"]), now.get("previous"), comment, known | dict(columns or {}))
+        return
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {_ident(name)} IS {_text(comment)}")
     for column, text in (columns or {}).items():

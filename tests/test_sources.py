@@ -146,6 +146,86 @@ def test_a_failing_overwrite_leaves_the_old_table(spark):
         spark.sql("DROP DATABASE swap_test CASCADE")
 
 
+def test_a_reader_always_finds_the_table(spark):
+    """A reader in a loop sees whole versions only, while writers replace the table and its schema."""
+    import threading
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS loop_test")
+    try:
+        src.write_table(spark.range(100), "loop_test.t")
+        seen, wrong, over = set(), [], threading.Event()
+
+        def read():
+            while not over.is_set():
+                try:
+                    seen.add(spark.table("loop_test.t").count())
+                except Exception as error:
+                    wrong.append(str(error)[:200])
+
+        reader = threading.Thread(target=read)
+        reader.start()
+        for n in range(1, 7):
+            rows_of = spark.range(100 * n).withColumn(f"c{n}", F.lit(n))
+            assert src.write_table(rows_of, "loop_test.t") == 100 * n
+        over.set()
+        reader.join()
+        assert not wrong and seen <= {100 * n for n in range(1, 7)} and len(seen) > 1
+        assert spark.table("loop_test.t").columns == ["id", "c6"]
+        kept = [t.name for t in spark.catalog.listTables("loop_test")]
+        assert len(kept) == 3 and src.list_tables(spark, "loop_test") == ["t"]  # the view, its version, the one before
+    finally:
+        spark.sql("DROP DATABASE loop_test CASCADE")
+
+
+def test_versions_keep_comments_counts_and_files(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS version_test")
+    place = tmp_path / "numbers"
+    try:
+        for n in (3, 4, 5):
+            src.write_table(spark.range(n), "version_test.numbers", path=str(place))
+            if n == 3:
+                src.comment_table(spark, "version_test.numbers", "some numbers", {"id": "the number"})
+        src.write_table(spark.range(2), "version_test.numbers", mode="append")
+        described = [tuple(r) for r in src.describe(spark, "version_test.numbers").collect()]
+        assert ("id", "bigint", "the number") in described
+        assert any(r[0] == "Comment" and r[1] == "some numbers" for r in described)
+        assert spark.table("version_test.numbers").count() == 7
+        assert len(list(place.iterdir())) == 2  # the current version and the one before
+        for file in place.rglob("*.parquet"):
+            file.write_bytes(b"not to be read")
+        counted = src.layer_manifest(spark, "version_test").collect()
+        assert [(r.table_name, r.row_count) for r in counted] == [("numbers", 7)]
+    finally:
+        spark.sql("DROP DATABASE version_test CASCADE")
+
+
+def test_tables_of_another_origin_give_way(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS origin_test")
+    try:
+        spark.range(3).write.saveAsTable("origin_test.t")
+        assert src.write_table(spark.range(1), "origin_test.t", mode="append") == 1
+        assert src.layer_manifest(spark, "origin_test").first().row_count == 4
+        assert src.write_table(spark.table("origin_test.t").limit(2).cache(), "origin_test.t") == 2
+        assert src.layer_manifest(spark, "origin_test").first().row_count == 2
+    finally:
+        spark.sql("DROP DATABASE origin_test CASCADE")
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucket_test")
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("a", "b"):
+            src.write_table(spark.range(1000).withColumn(name, F.col("id") * 2), f"bucket_test.{name}", bucket_by=(4, "id"))
+        joined = spark.table("bucket_test.a").join(spark.table("bucket_test.b"), "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        spark.sql("DROP DATABASE bucket_test CASCADE")
+
+
 def test_full_pipeline_equals_the_lakehouse(spark, small_lake):
     from strataflow.plans.lakehouse import GOLD_TABLES
     from strataflow.plans.pipeline import build_bronze_layer, build_gold_layer, build_silver_layer
