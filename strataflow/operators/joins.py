@@ -43,8 +43,15 @@ def star_join(fact: DataFrame, dims: Iterable[tuple[DataFrame, str, Iterable[str
     return fact
 
 
-def join_one(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
-    """Join to a table that has at most one row per key."""
+def join_one(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left", spread_on: str | None = None, **skew
+) -> DataFrame:
+    """Join to a table that has at most one row per key.
+
+    Where a key of ``left`` is hot, adaptive execution splits its partition.  ``skew`` (``hot_rows``) salts hot keys
+    instead, over a hash of ``spread_on``, a unique column of ``left``."""
+    if skew:
+        return skew_join(left, right, on, how, "left", spread_on, **skew)
     return left.join(right, on, how)
 
 

@@ -38,7 +38,7 @@ def skew_join(
     join, row for row.  Nothing runs before the result is asked for.
 
     ``probe`` is a cheaper table with the same keys as a hot left side, to count keys in.  The hot list
-    is broadcast: it has at most (rows / ``hot_rows``) keys.
+    has at most (rows / ``hot_rows``) keys; it carries no hint, its measured size decides how it is joined.
     """
     if how not in ("inner", "left") or hot not in ("left", "right"):
         raise ValueError("how must be inner or left, hot must be left or right")
@@ -47,7 +47,7 @@ def skew_join(
     on = [on] if isinstance(on, str) else list(on)
     wide, narrow = (left, right) if hot == "left" else (right, left)
     counted = hot_keys(wide if probe is None else probe, on, hot_rows)
-    hot_list = F.broadcast(counted.select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint").alias("_parts")))
+    hot_list = counted.select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint").alias("_parts"))
 
     missing = F.lit(False)
     for name in on:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -25,9 +25,9 @@ from ..functions import (
     stable_round,
     week_start,
 )
-from ..operators.grouping import first_times, pct_of_total, pct_within, top_k
+from ..functions.moments import time_of
+from ..operators.grouping import first_times, group_with_share, group_with_totals, newest_by, pct_within, top_k
 from ..operators.joins import join_dim, join_many, join_one, without_match
-from ..operators.skew import skew_join
 
 
 def _rows() -> Column:
@@ -103,13 +103,13 @@ def funnel_overview(funnel: DataFrame) -> DataFrame:
 
 
 def stage_dropoff(funnel: DataFrame) -> DataFrame:
-    by_stage = funnel.groupBy("stage_reached").agg(
-        _rows().alias("applications"),
-        rounded_avg("processing_days_actual").alias("avg_processing_days"),
-        count_where(F.col("is_late_completion")).alias("late_count"),
-    )
+    measures = {
+        "applications": _rows(),
+        "avg_processing_days": rounded_avg("processing_days_actual"),
+        "late_count": count_where(F.col("is_late_completion")),
+    }
     return (
-        pct_of_total(by_stage, "applications", "pct_of_total")
+        group_with_share(funnel, ["stage_reached"], measures, "applications", "pct_of_total")
         .select("stage_reached", "applications", "pct_of_total", "avg_processing_days", "late_count")
         .orderBy(F.desc("applications"), "stage_reached")
     )
@@ -132,16 +132,13 @@ def payment_gap_by_status(
 ) -> DataFrame:
     """Applications without any payment row, by status, as a share of the whole gap."""
     gap = unpaid_applications(apps, payments) if unpaid is None else unpaid
-    grouped = (
-        gap.groupBy("status", "status_category")
-        .agg(
-            _rows().alias("applications_without_payment"),
-            count_where(F.col("is_completed")).alias("completed_count"),
-            count_where(~F.col("is_completed")).alias("not_completed_count"),
-        )
-    )
+    measures = {
+        "applications_without_payment": _rows(),
+        "completed_count": count_where(F.col("is_completed")),
+        "not_completed_count": count_where(~F.col("is_completed")),
+    }
     return (
-        pct_of_total(grouped, "applications_without_payment", "pct_of_gap")
+        group_with_share(gap, ["status", "status_category"], measures, "applications_without_payment", "pct_of_gap")
         .select(
             "status", "status_category", "applications_without_payment", "pct_of_gap",
             "completed_count", "not_completed_count",
@@ -161,20 +158,33 @@ def payment_gap_by_visa_type(
 
     The whole gap counts every application without payment, also those of an unknown country."""
     rows = unpaid_applications(apps, payments) if unpaid is None else unpaid
-    gap = rows.groupBy("status", "visa_type_id", "country_id").agg(_rows().alias("n"))
-    whole = gap.agg(F.sum("n")).scalar()
+    gap = group_with_totals(rows, ["status", "visa_type_id", "country_id"], {"n": _rows()}, ["n"])
     named = join_dim(gap, visa_types, "visa_type_id", ["visa_type_name"])
     named = join_dim(named, countries, "country_id", ["visa_fee_usd"])
     grouped = (
         named.groupBy("status", "visa_type_name", "visa_fee_usd")
-        .agg(F.sum("n").alias("app_count"))
-        .withColumn("pct_of_total_gap", pct(F.col("app_count"), whole))
+        .agg(F.sum("n").alias("app_count"), F.max("_total_n").alias("_whole"))
+        .withColumn("pct_of_total_gap", pct(F.col("app_count"), F.col("_whole")))
+        .drop("_whole")
     )
     return pct_within(grouped, "app_count", "status", "total_by_status", "pct_within_status").orderBy(
         "status", F.desc("app_count"), "visa_type_name", "visa_fee_usd"
     )
 
 
+MONTH = ("application_year", "application_month")
+
+
+def gap_counts(unpaid: DataFrame) -> DataFrame:
+    """Approved applications without payment by country, by month and in all: grouping sets, one pass.  ``grain`` says which."""
+    approved = unpaid.where(F.col("status") == "Approved")
+    counted = approved.groupingSets([["country_id"], list(MONTH), []], "country_id", *MONTH).agg(
+        F.grouping_id().alias("_set"), _rows().alias("n")
+    )
+    grain = F.when(F.col("_set") == 3, "country").when(F.col("_set") == 4, "month").otherwise("all")
+    return counted.select(grain.alias("grain"), "country_id", *MONTH, "n")
+
+
 def payment_reconciliation(
     apps: DataFrame,
     payments: DataFrame,
@@ -182,25 +192,26 @@ def payment_reconciliation(
     visa_types: DataFrame,
     as_of=None,
     unpaid: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Approved applications with no payment row at all, with fee, concentration and age.
 
-    The concentration counts come from one small aggregate of the gap (country x month) instead
+    The concentration counts come from one small aggregate of the gap (``gap_counts``) instead
     of windows over it: a window by country would sort a third of the gap in one task if one
-    country holds a third.
+    country holds a third.  They are used three times: pass them stored, as ``unpaid``.
     """
     approved = F.col("status") == "Approved"
     gap = unpaid.where(approved) if unpaid is not None else unpaid_applications(apps.where(approved), payments)
+    counts = gap_counts(gap) if counts is None else counts
     gap = gap.select(
         "application_id", "user_id", "country_id", "visa_type_id", "status",
         F.col("completed_date").alias("approved_at"), "application_date", "application_year",
         "application_month", "source", "platform",
     )
-    month = ["application_year", "application_month"]
-    cube = gap.groupBy("country_id", *month).agg(_rows().alias("n"))
-    whole = cube.agg(F.sum("n")).scalar()
-    in_country = cube.groupBy("country_id").agg(F.sum("n").alias("country_concentration_count"))
-    in_month = cube.groupBy(*month).agg(F.sum("n").alias("month_concentration_count"))
+    month = list(MONTH)
+    whole = counts.where(F.col("grain") == "all").agg(F.max("n")).scalar()
+    in_country = counts.where(F.col("grain") == "country").select("country_id", F.col("n").alias("country_concentration_count"))
+    in_month = counts.where(F.col("grain") == "month").select(*month, F.col("n").alias("month_concentration_count"))
 
     country = countries.select(
         "country_id", "country_name", F.col("visa_fee_usd").alias("expected_fee"),
@@ -244,15 +255,14 @@ def reconciliation_overview(recon: DataFrame) -> DataFrame:
 
 def gap_by_country(recon: DataFrame, k: int = 10) -> DataFrame:
     """The k countries with most unreconciled applications."""
-    grouped = recon.groupBy("country_name").agg(
-        _rows().alias("unreconciled_count"),
-        F.sum("estimated_revenue_loss").alias("revenue_at_risk"),
-        rounded_avg("days_since_approval").alias("avg_days_since_approval"),
-        F.count_distinct("visa_type_name").alias("visa_types_affected"),
-    )
-    return top_k(
-        pct_of_total(grouped, "unreconciled_count", "pct_of_gap"), "unreconciled_count", k, "country_name"
-    )
+    measures = {
+        "unreconciled_count": _rows(),
+        "revenue_at_risk": F.sum("estimated_revenue_loss"),
+        "avg_days_since_approval": rounded_avg("days_since_approval"),
+        "visa_types_affected": F.count_distinct("visa_type_name"),
+    }
+    grouped = group_with_share(recon, ["country_name"], measures, "unreconciled_count", "pct_of_gap")
+    return top_k(grouped, "unreconciled_count", k, "country_name")
 
 
 def approved_payment_breakdown(apps: DataFrame, payments: DataFrame) -> DataFrame:
@@ -633,19 +643,20 @@ def abandoned_applications(
 ) -> DataFrame:
     """Unfinished applications, one row each, with last event, age and recovery class."""
     now = as_time(as_of)
-    # The newest event is a maximum, so event histories are combined map-side before the shuffle (each task sorts its rows by key for that);
+    # Event histories are reduced to a row per application and type (hash aggregation, combined map-side);
     # event_id settles equal times.
+    history = Window.partitionBy("application_id")
     activity = (
-        events.groupBy("application_id")
-        .agg(
-            F.max(F.struct("event_time", "event_id", "event_type")).alias("_last"),
-            _rows().alias("total_events"),
-            F.count_distinct("event_type").alias("unique_event_types"),
-        )
+        newest_by(events, "application_id", "event_time", "event_id", ["event_type"])
+        .withColumns({
+            "total_events": F.sum("_rows").over(history),
+            "unique_event_types": F.count("event_type").over(history),
+        })
+        .where(F.col("_place") == 1)
         .select(
             "application_id", "total_events", "unique_event_types",
-            F.col("_last.event_type").alias("last_stage_reached"),
-            F.col("_last.event_time").alias("time_of_last_activity"),
+            F.col("event_type").alias("last_stage_reached"),
+            time_of(F.col("_moment"), events.schema["event_time"].dataType).alias("time_of_last_activity"),
         )
     )
     open_apps = apps.where(F.col("status").isin(*statuses)).select(
@@ -780,8 +791,7 @@ def ticket_impact(
     **skew,
 ) -> DataFrame:
     """Tickets with the state of their application, the user's review of it and impact flags.
-    One row per ticket and review.  Tickets without an application are spread over all join
-    partitions, since none of them can match."""
+    One row per ticket and review."""
     linked = apps.select(
         "application_id", F.col("status").alias("linked_application_status"),
         F.col("status_category").alias("linked_application_category"), "application_date",
@@ -791,8 +801,8 @@ def ticket_impact(
         "review_id", "application_id", "user_id", F.col("rating").alias("user_rating"), "review_text"
     )
     people = users.select("user_id", F.col("country").alias("user_country"))
-    rows = skew_join(tickets, linked, "application_id", "left", "left", "ticket_id", **skew)
-    rows = skew_join(rows, people, "user_id", "left", "left", "ticket_id", probe=tickets, **skew)
+    rows = join_one(tickets, linked, "application_id", spread_on="ticket_id", **skew)
+    rows = join_one(rows, people, "user_id", spread_on="ticket_id", **skew)
     rows = join_many(rows, opinions, ["application_id", "user_id"], "review_id", **skew)
 
     state, made = F.col("linked_application_status"), F.col("created_at")

@@ -18,10 +18,10 @@ from ..functions import (
     sum_where,
     threshold_status,
 )
-from ..operators.grouping import pct_of_total, top_k_with_other, trend
-from ..operators.joins import join_dim
+from ..operators.grouping import group_with_share, top_k_with_other, trend
+from ..operators.joins import join_dim, join_one
 from ..operators.metric_view import MetricView, plain_dims
-from ..operators.skew import skew_join
+from ..operators.states import distinct_from_state, distinct_state, histogram_state, quantile_from_state
 
 # Statuses counted as abandoned.
 ABANDONED = ("Pending", "Cancelled")
@@ -58,6 +58,27 @@ def revenue_view(cube: DataFrame) -> MetricView:
     )
 
 
+# --- distinct users at any grain ----------------------------------------------------------
+
+# The periods that months add up to.
+PERIODS = {
+    "month": ("application_year", "application_quarter", "application_month"),
+    "quarter": ("application_year", "application_quarter"),
+    "year": ("application_year",),
+    "all": (),
+}
+
+
+def applicant_state(apps: DataFrame, dims: Sequence[str] = ("country_id",)) -> DataFrame:
+    """Who applied in which month (and ``dims``), as bitmaps: a state to store."""
+    return distinct_state(apps, [*PERIODS["month"], *dims], "user_id")
+
+
+def applicants(state: DataFrame, period: str, dims: Sequence[str] = ()) -> DataFrame:
+    """Distinct applicants by period (and ``dims``) from the stored ``applicant_state``: exact, though users come again."""
+    return distinct_from_state(state, [*PERIODS[period], *dims], "applicants")
+
+
 # --- rates --------------------------------------------------------------------------------
 
 
@@ -104,18 +125,13 @@ def revenue_at_risk(apps: DataFrame, countries: DataFrame, statuses: Sequence[st
 
 def revenue_breakdown(cube: DataFrame, dims: Sequence[str | Column]) -> DataFrame:
     """Successful revenue and its share by any dimensions of the revenue cube."""
-    grouped = trend(
-        cube,
-        dims,
-        {"revenue": F.sum("successful_revenue"), "transactions": F.sum("total_transactions")},
-    )
-    return pct_of_total(grouped, "revenue", "revenue_pct")
+    measures = {"revenue": F.sum("successful_revenue"), "transactions": F.sum("total_transactions")}
+    return group_with_share(cube, dims, measures, "revenue", "revenue_pct")
 
 
 def revenue_top(cube: DataFrame, dim: str, k: int = 5) -> DataFrame:
     """The k members with most successful revenue and the rest as "Other", with shares."""
-    top = top_k_with_other(cube, dim, "successful_revenue", k)
-    return pct_of_total(top, "successful_revenue", "revenue_pct")
+    return top_k_with_other(cube, dim, "successful_revenue", k, share="revenue_pct")
 
 
 def application_trend(apps: DataFrame, dims: Sequence[str | Column]) -> DataFrame:
@@ -195,8 +211,7 @@ STEPS = (
 )
 
 
-def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Hours spent in each step: where is the bottleneck."""
+def _steps(funnel: DataFrame, *by: str) -> DataFrame:
     steps = F.explode(
         F.array(
             *[
@@ -205,9 +220,24 @@ def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             ]
         )
     ).alias("s")
+    return funnel.select(*by, steps).where("s.hours IS NOT NULL")
+
+
+def stage_hours(funnel: DataFrame, by: Sequence[str] = ("country_id", "visa_type_id")) -> DataFrame:
+    """How many applications spent how many hours in each step, by ``by``: a state to store, from which
+    ``stage_medians`` answers at any coarser grain."""
+    return histogram_state(_steps(funnel, *by).select(*by, "s.step", "s.hours"), [*by, "step"], "hours")
+
+
+def stage_medians(hours: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Applications and median hours of each step from the stored ``stage_hours``."""
+    return quantile_from_state(hours, [*by, "step"], 0.5, "median_hours").withColumnRenamed("rows", "applications")
+
+
+def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Hours spent in each step: where is the bottleneck."""
     return (
-        funnel.select(*by, steps)
-        .where("s.hours IS NOT NULL")
+        _steps(funnel, *by)
         .groupBy(*by, F.col("s.step").alias("step"))
         .agg(
             _rows().alias("applications"),
@@ -223,13 +253,13 @@ def stage_durations(funnel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def pending_ageing(carts: DataFrame) -> DataFrame:
     """Open and cancelled applications by age class, with the share of the whole."""
     status = F.col("status")
-    grouped = carts.groupBy("aging_priority").agg(
-        _rows().alias("applications"),
-        count_where(status == "Pending").alias("pending"),
-        count_where(status == "Cancelled").alias("cancelled"),
-        pct(count_where(status == "Cancelled"), _rows()).alias("cancelled_pct"),
-    )
-    return pct_of_total(grouped, "applications", "pct_of_total")
+    measures = {
+        "applications": _rows(),
+        "pending": count_where(status == "Pending"),
+        "cancelled": count_where(status == "Cancelled"),
+        "cancelled_pct": pct(count_where(status == "Cancelled"), _rows()),
+    }
+    return group_with_share(carts, ["aging_priority"], measures, "applications", "pct_of_total")
 
 
 def cohort_summary(cohorts: DataFrame, dim: str) -> DataFrame:
@@ -294,7 +324,7 @@ def retry_due(payments: DataFrame, as_of=None, after_hours: int = 24, **skew) ->
     failed = payments.where(~F.col("is_successful")).select(
         "payment_id", "application_id", "amount", "payment_method", "payment_gateway", "payment_time"
     )
-    rows = skew_join(failed, last_success, "application_id", "left", "left", "payment_id", **skew)
+    rows = join_one(failed, last_success, "application_id", spread_on="payment_id", **skew)
     waited = hours_elapsed("payment_time", as_time(as_of))
     later = F.coalesce(F.col("last_success") > F.col("payment_time"), F.lit(False))
     return rows.where(~later & (waited >= after_hours)).select(

@@ -7,13 +7,19 @@ from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import TABLES
-from ..session import shared_folder, store
+from ..session import shared_folder, store_counted
 from . import gold
 from .quality import dq_log
 from .silver import clean_table
 
+#: What a stored table is partitioned by: columns of few values that readers filter on.
+PARTITIONS = {"gold_revenue_metrics": ("payment_year",), "gold_operational_metrics": ("application_year",)}
+
+RUN_SCHEMA = "table_name string, row_count long, location string"
+
 # The gold tables users read.
 GOLD_TABLES = (
     "application_funnel",
@@ -33,18 +39,22 @@ def gold_plan(
     silver: Callable[[str], DataFrame],
     as_of=None,
     unpaid: Callable[[], DataFrame | None] = lambda: None,
+    counts: Callable[[], DataFrame | None] = lambda: None,
 ) -> DataFrame:
     """A gold table over silver tables given by name.
 
-    ``unpaid`` supplies a stored form of ``unpaid_applications``, if there is one."""
+    ``unpaid`` and ``counts`` supply stored forms of ``unpaid_applications`` and ``gap_counts``, if there are any."""
     s = silver
     plans: dict[str, Callable[[], DataFrame]] = {
         "application_funnel": lambda: gold.application_funnel(
             s("applications"), s("application_events"), s("payments")
         ),
         "unpaid_applications": lambda: gold.unpaid_applications(s("applications"), s("payments")),
+        "gap_counts": lambda: gold.gap_counts(
+            gold.unpaid_applications(s("applications"), s("payments")) if unpaid() is None else unpaid()
+        ),
         "payment_reconciliation": lambda: gold.payment_reconciliation(
-            s("applications"), s("payments"), s("countries"), s("visa_types"), as_of, unpaid()
+            s("applications"), s("payments"), s("countries"), s("visa_types"), as_of, unpaid(), counts()
         ),
         "revenue_metrics": lambda: gold.revenue_metrics(
             s("payments"), s("applications"), s("countries"), s("visa_types")
@@ -67,7 +77,7 @@ def gold_plan(
         "support_ticket_impact": lambda: gold.ticket_impact(
             s("support_tickets"), s("applications"), s("users"), s("reviews"), as_of
         ),
-        "data_quality_log": lambda: dq_log(s("users"), s("applications"), s("payments")),
+        "data_quality_log": lambda: dq_log(s("users"), s("applications"), s("payments"), as_of),
     }
     return plans[name]()
 
@@ -111,9 +121,18 @@ class Lakehouse:
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         with self._locks.setdefault(name, Lock()):
             if name not in self._written:
-                self._written[name] = store(build(), f"{self.folder}/{name}")
+                path = f"{self.folder}/{name}"
+                self._written[name], rows = store_counted(build(), path, PARTITIONS.get(name, ()))
+                run = self.spark.createDataFrame([(name, rows, path)], RUN_SCHEMA)
+                run.write.mode("overwrite").parquet(f"{self.folder}/_runs/table={name}")
             return self._written[name]
 
+    def manifest(self, layer: str, tables: Sequence[str]) -> DataFrame:
+        """Row count of stored tables, as counted while they were written: only the run table is read, no data."""
+        runs = self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.folder}/_runs")
+        names = [f"{layer}_{t}" for t in tables]
+        return runs.where(F.col("table_name").isin(names)).select("table_name", "row_count").orderBy("table_name")
+
     def _each(self, names: Sequence[str], get: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
         """Several tables at a time, so the tail of one is filled by the next."""
         with ThreadPoolExecutor(4) as pool:
@@ -122,12 +141,18 @@ class Lakehouse:
     def silver(self, name: str) -> DataFrame:
         return self._stored(f"silver_{name}", lambda: self.clean(name))
 
+    def state(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A mergeable state that several questions are answered from, written on first use."""
+        return self._stored(f"state_{name}", build)
+
     def all_silver(self) -> dict[str, DataFrame]:
         return self._each(TABLES, self.silver)
 
     def plan(self, name: str) -> DataFrame:
         """A gold table as a lazy plan over silver."""
-        return gold_plan(name, self.silver, self.as_of, lambda: self.gold("unpaid_applications"))
+        return gold_plan(
+            name, self.silver, self.as_of, lambda: self.gold("unpaid_applications"), lambda: self.gold("gap_counts")
+        )
 
     def gold(self, name: str) -> DataFrame:
         """A gold table, written on first use."""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import count_where, email_ok, flag, pct
+from ..functions import as_time, count_where, email_ok, flag, pct
 from ..operators.joins import without_match
 from ..operators.shaping import long_form, union_reports
 from ..schemas import FOREIGN_KEYS
@@ -67,15 +67,39 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, null
 
 
 def fk_report(tables: Mapping[str, DataFrame], relations=FOREIGN_KEYS) -> DataFrame:
-    """Orphans of every foreign key: table, orphaned records, key."""
-    return union_reports(
+    """Orphans of every foreign key: table, orphaned records, key.
+
+    Each child is read once for all its keys.  Its keys are stacked with the number of their relation and counted
+    before any join, so a hot key is one row; then the stack meets each parent once, whatever the number of its children."""
+    stacked = []
+    for child in dict.fromkeys(r[0] for r in relations):
+        entries = [
+            F.struct(F.lit(k).alias("relation"), F.lit(parent).alias("parent"), F.col(key).cast("bigint").alias("key"))
+            for k, (of, key, parent, _) in enumerate(relations)
+            if of == child
+        ]
+        stacked.append(tables[child].select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+    optional = [k for k, relation in enumerate(relations) if not relation[3]]
+    counted = union_reports(*stacked).groupBy("relation", "parent", "key").agg(_rows().alias("n"))
+    counted = counted.where(F.col("key").isNotNull() | ~F.col("relation").isin(optional))
+    parent_key = {parent: key for _, key, parent, _ in relations}
+    known = union_reports(
         *[
-            orphans(tables[child], key, tables[parent], key, nulls).select(
-                F.lit(child).alias("table_name"), "orphaned_records", F.lit(key).alias("foreign_key")
-            )
-            for child, key, parent, nulls in relations
+            tables[p].select(F.lit(p).alias("parent"), F.col(k).cast("bigint").alias("key"), F.lit(True).alias("known"))
+            for p, k in parent_key.items()
         ]
     )
+    # an anti join would be pushed below the stack, and each parent read for each child
+    lost = counted.join(known, ["parent", "key"], "left").where(F.col("known").isNull()).select("relation", "n")
+    names = [
+        F.struct(F.lit(k).alias("relation"), F.lit(child).alias("table_name"), F.lit(key).alias("foreign_key"))
+        for k, (child, key, _, _) in enumerate(relations)
+    ]
+    every = lost.sparkSession.range(1).select(F.explode(F.array(*names)).alias("r")).select("r.*")
+    found = lost.groupBy("relation").agg(F.sum("n").alias("n"))
+    return every.join(found, "relation", "left").select(
+        "table_name", F.coalesce("n", F.lit(0).cast("bigint")).alias("orphaned_records"), "foreign_key"
+    )
 
 
 # --- score --------------------------------------------------------------------------------
@@ -157,8 +181,8 @@ def dq_score(users: DataFrame, apps: DataFrame, events: DataFrame, payments: Dat
     ).select(F.coalesce("criterion", F.lit("final")).alias("criterion"), "weight", "score", "points")
 
 
-def dq_log(users: DataFrame, apps: DataFrame, payments: DataFrame) -> DataFrame:
-    """Five checks with issue count, rates, weight and contribution.
+def dq_log(users: DataFrame, apps: DataFrame, payments: DataFrame, checked_at=None) -> DataFrame:
+    """Five checks with issue count, rates, weight, contribution and the moment of the check (default: now).
 
     The status follows from the result: "Passed" without issues, "Failed" with them;
     "Documented" marks the check that reports a known business gap."""
@@ -244,6 +268,34 @@ def dq_log(users: DataFrame, apps: DataFrame, payments: DataFrame) -> DataFrame:
         pct(total - issues, total).alias("pass_rate"),
         "severity", status.alias("resolution_status"), "rubric_score_weight",
         F.round(F.try_divide((total - issues) * weight, total), 2).alias("weighted_score_contribution"),
+        as_time(checked_at).alias("checked_at"),
+    )
+
+
+def record_run(log: DataFrame, history: str) -> DataFrame:
+    """Append a run of ``dq_log`` to the history at the path ``history`` and return the whole history.
+
+    Runs are only ever added: each is a write of its own, named by its moment, and one that is repeated replaces itself alone."""
+    run = log.withColumn("run", F.date_format("checked_at", "yyyyMMdd'T'HHmmss"))
+    run.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("run").parquet(history)
+    kinds = run.schema
+    return log.sparkSession.read.schema(kinds).parquet(history).select(*log.columns)
+
+
+def dq_changes(history: DataFrame) -> DataFrame:
+    """Each check of each run with its change against the run before: new issues, change of the pass rate, and whether it got worse.
+
+    A run is a handful of rows; a check has as many as there were runs."""
+    before = Window.partitionBy("check_category", "check_name", "table_affected").orderBy("checked_at")
+    return history.withColumns({
+        "previous_issue_count": F.lag("issue_count").over(before),
+        "previous_pass_rate": F.lag("pass_rate").over(before),
+    }).select(
+        "checked_at", "check_category", "check_name", "table_affected", "issue_count", "total_checks", "pass_rate",
+        "resolution_status", "previous_issue_count",
+        (F.col("issue_count") - F.col("previous_issue_count")).alias("new_issues"),
+        F.round(F.col("pass_rate") - F.col("previous_pass_rate"), 2).alias("pass_rate_change"),
+        flag(F.col("pass_rate") < F.col("previous_pass_rate")).alias("is_worse"),
     )
 
 

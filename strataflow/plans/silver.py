@@ -23,8 +23,9 @@ from ..functions import (
     only_if,
     pct,
 )
+from ..functions.moments import moment
 from ..operators.dedup import dedup_any, dedup_latest
-from ..operators.skew import skew_join
+from ..operators.joins import join_one
 from ..schemas import KEYS, RAW_SCHEMAS
 
 # Band limits and labels.
@@ -47,26 +48,26 @@ def _base(df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
     return df.select(*RAW_SCHEMAS[table].names, *extra, *arrival)
 
 
+def version_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
+    """What makes a version the newer one: a later arrival (where bronze says when), then a greater ``order_by``."""
+    return [*([ARRIVAL] if ARRIVAL in df.columns else []), *order_by]
+
+
 def _unique(df: DataFrame, table: str, order_by: Sequence[str], keep: str) -> DataFrame:
-    """One row per key: the latest to arrive (where bronze says when), then the greatest by ``order_by``."""
+    """One row per key: the latest to arrive (where bronze says when), then the greatest by ``order_by``.
+
+    Versions that are equal in all of these are told apart by a hash of the row: one is kept, the same on every run, but
+    which of them means nothing.  Without an arrival time that is all there is to go by."""
     if keep == "any":
         return dedup_any(df, KEYS[table]).drop(ARRIVAL)
-    arrival = [ARRIVAL] if ARRIVAL in df.columns else []
-    return dedup_latest(df, KEYS[table], [*arrival, *order_by]).drop(ARRIVAL)
+    return dedup_latest(df, KEYS[table], version_order(df, order_by)).drop(ARRIVAL)
 
 
-def clean_countries(df: DataFrame, keep: str = "latest", unknown_label: str | None = None) -> DataFrame:
-    return _unique(_base(df, "countries"), "countries", [], keep).select(
-        "*",
-        bucketize("approval_rate", ">=", APPROVAL_BANDS, "Low", unknown_label).alias("approval_rating"),
-        bucketize("processing_days", "<=", PROCESSING_BANDS, "Slow", unknown_label).alias("processing_speed"),
-    )
+# Each table has a valid form (row by row: base columns, tidied, bad rows removed) and an enriched one (row by row again).
+# Between them stands the choice of one version per key, the only step that shuffles.
 
 
-def clean_users(
-    df: DataFrame, as_of=None, keep: str = "latest", unknown_label: str | None = None
-) -> DataFrame:
-    """Names in capitals, e-mail in lower case; rows without a well-formed e-mail are removed."""
+def valid_users(df: DataFrame) -> DataFrame:
     tidy = _base(df, "users").withColumns(
         {
             "first_name": F.trim(F.upper("first_name")),
@@ -74,14 +75,33 @@ def clean_users(
             "email": F.lower(F.trim("email")),
         }
     )
+    return tidy.where(email_ok("email"))
+
+
+def valid_applications(df: DataFrame) -> DataFrame:
+    return _base(df, "applications").dropna(subset=["application_date", "user_id"])
+
+
+def valid_payments(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return _base(df, "payments", extra).where((F.col("amount") > 0) & F.col("payment_time").isNotNull())
+
+
+def enrich_countries(rows: DataFrame, unknown_label: str | None = None) -> DataFrame:
+    return rows.select(
+        "*",
+        bucketize("approval_rate", ">=", APPROVAL_BANDS, "Low", unknown_label).alias("approval_rating"),
+        bucketize("processing_days", "<=", PROCESSING_BANDS, "Slow", unknown_label).alias("processing_speed"),
+    )
+
+
+def enrich_users(rows: DataFrame, as_of=None, unknown_label: str | None = None) -> DataFrame:
     today = as_time(as_of).cast("date")
     age = F.year(today) - F.year("dob")
     verified = F.when(F.col("is_verified"), "Verified")
     if unknown_label is not None:
         verified = verified.when(F.col("is_verified").isNull(), unknown_label)
     return (
-        _unique(tidy.where(email_ok("email")), "users", ["signup_date"], keep)
-        .withColumn("full_name", F.concat("first_name", F.lit(" "), "last_name"))
+        rows.withColumn("full_name", F.concat("first_name", F.lit(" "), "last_name"))
         .withColumn("age", age)
         .withColumn("days_since_signup", F.date_diff(today, F.col("signup_date")))
         .withColumn("verification_status", verified.otherwise("Unverified"))
@@ -89,21 +109,14 @@ def clean_users(
     )
 
 
-def clean_applications(
-    df: DataFrame,
-    keep: str = "latest",
-    order_by: Sequence[str] = ("application_date",),
-    unknown_label: str | None = None,
-) -> DataFrame:
-    """Rows need a date and a user."""
-    valid = _base(df, "applications").dropna(subset=["application_date", "user_id"])
+def enrich_applications(rows: DataFrame, unknown_label: str | None = None) -> DataFrame:
     applied = F.col("application_date")
     category = F
     for status, label in STATUS_CATEGORIES.items():
         category = category.when(F.col("status") == status, label)
     if unknown_label is not None:
         category = category.when(F.col("status").isNull(), unknown_label)
-    return _unique(valid, "applications", order_by, keep).select(
+    return rows.select(
         "*",
         F.date_diff("travel_date", applied).alias("days_until_travel"),
         F.date_diff("completed_date", applied).alias("processing_days_actual"),
@@ -122,20 +135,9 @@ def clean_applications(
     )
 
 
-def clean_payments(
-    df: DataFrame,
-    success_values: Sequence[str] = ("Completed",),
-    keep: str = "latest",
-    order_by: Sequence[str] = ("payment_time",),
-) -> DataFrame:
-    """Rows need a positive amount and a time.  ``order_by`` may name columns outside the schema
-    (an arrival order); they decide which duplicate wins and are dropped."""
-    extra = [c for c in order_by if c not in RAW_SCHEMAS["payments"].names]
-    valid = _base(df, "payments", extra).where(
-        (F.col("amount") > 0) & F.col("payment_time").isNotNull()
-    )
+def enrich_payments(rows: DataFrame, success_values: Sequence[str] = ("Completed",)) -> DataFrame:
     paid = F.col("payment_time")
-    return _unique(valid, "payments", order_by, keep).drop(*extra).select(
+    return rows.select(
         "*",
         F.year(paid).alias("payment_year"),
         F.month(paid).alias("payment_month"),
@@ -147,11 +149,10 @@ def clean_payments(
     )
 
 
-def clean_documents(df: DataFrame, keep: str = "latest") -> DataFrame:
+def enrich_documents(rows: DataFrame) -> DataFrame:
     checked = F.col("verification_time").isNotNull()
     return (
-        _unique(_base(df, "documents"), "documents", ["upload_time"], keep)
-        .withColumn("is_verified", F.col("verified"))
+        rows.withColumn("is_verified", F.col("verified"))
         .withColumn("verification_hours", only_if(checked, hours_fraction("upload_time", "verification_time")))
         .withColumn(
             "verification_speed",
@@ -167,9 +168,9 @@ def clean_documents(df: DataFrame, keep: str = "latest") -> DataFrame:
     )
 
 
-def clean_tickets(df: DataFrame, as_of=None, keep: str = "latest") -> DataFrame:
+def enrich_tickets(rows: DataFrame, as_of=None) -> DataFrame:
     made, solved = F.col("created_at"), F.col("resolved_at")
-    return _unique(_base(df, "support_tickets"), "support_tickets", ["created_at"], keep).select(
+    return rows.select(
         "*",
         solved.isNotNull().alias("is_resolved"),
         bucketize("resolution_time_hours", "<=", RESOLUTION_BANDS, SLOW_HOURS, null_label="Open").alias("resolution_speed"),
@@ -183,9 +184,62 @@ def clean_tickets(df: DataFrame, as_of=None, keep: str = "latest") -> DataFrame:
     )
 
 
+def clean_countries(df: DataFrame, keep: str = "latest", unknown_label: str | None = None) -> DataFrame:
+    return enrich_countries(_unique(_base(df, "countries"), "countries", [], keep), unknown_label)
+
+
+def clean_users(
+    df: DataFrame, as_of=None, keep: str = "latest", unknown_label: str | None = None
+) -> DataFrame:
+    """Names in capitals, e-mail in lower case; rows without a well-formed e-mail are removed."""
+    return enrich_users(_unique(valid_users(df), "users", VERSION_ORDER["users"], keep), as_of, unknown_label)
+
+
+def clean_applications(
+    df: DataFrame,
+    keep: str = "latest",
+    order_by: Sequence[str] = ("application_date",),
+    unknown_label: str | None = None,
+) -> DataFrame:
+    """Rows need a date and a user."""
+    return enrich_applications(_unique(valid_applications(df), "applications", order_by, keep), unknown_label)
+
+
+def clean_payments(
+    df: DataFrame,
+    success_values: Sequence[str] = ("Completed",),
+    keep: str = "latest",
+    order_by: Sequence[str] = ("payment_time",),
+) -> DataFrame:
+    """Rows need a positive amount and a time.  ``order_by`` may name columns outside the schema
+    (an arrival order); they decide which duplicate wins and are dropped."""
+    extra = [c for c in order_by if c not in RAW_SCHEMAS["payments"].names]
+    rows = _unique(valid_payments(df, extra), "payments", order_by, keep).drop(*extra)
+    return enrich_payments(rows, success_values)
+
+
+def clean_documents(df: DataFrame, keep: str = "latest") -> DataFrame:
+    return enrich_documents(_unique(_base(df, "documents"), "documents", VERSION_ORDER["documents"], keep))
+
+
+def clean_tickets(df: DataFrame, as_of=None, keep: str = "latest") -> DataFrame:
+    rows = _unique(_base(df, "support_tickets"), "support_tickets", VERSION_ORDER["support_tickets"], keep)
+    return enrich_tickets(rows, as_of)
+
+
 def clean_standard(df: DataFrame, key: str, keep: str = "latest") -> DataFrame:
-    """A table that only needs one row per key."""
-    return dedup_any(df, key) if keep == "any" else dedup_latest(df, key)
+    """A table that only needs one row per key: the latest to arrive, where bronze says when."""
+    return dedup_any(df, key) if keep == "any" else dedup_latest(df, key, version_order(df, []))
+
+
+# Which version of a key is the current one, after its arrival.
+VERSION_ORDER = {
+    "users": ["signup_date"],
+    "applications": ["application_date"],
+    "payments": ["payment_time"],
+    "documents": ["upload_time"],
+    "support_tickets": ["created_at"],
+}
 
 
 def clean_table(name: str, raw: DataFrame, as_of=None, payment_order: Sequence[str] = ("payment_time",)) -> DataFrame:
@@ -201,6 +255,30 @@ def clean_table(name: str, raw: DataFrame, as_of=None, payment_order: Sequence[s
     return special[name]() if name in special else clean_standard(raw, KEYS[name])
 
 
+def valid_rows(name: str, raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The rows of a table that may become silver, base columns and arrival only; ``extra`` columns order versions."""
+    if name == "users":
+        return valid_users(raw)
+    if name == "applications":
+        return valid_applications(raw)
+    if name == "payments":
+        return valid_payments(raw, extra)
+    return _base(raw, name, extra)
+
+
+def enrich_rows(name: str, rows: DataFrame, as_of=None) -> DataFrame:
+    """Silver columns of rows that are valid and unique."""
+    special: Mapping[str, Callable[[], DataFrame]] = {
+        "countries": lambda: enrich_countries(rows),
+        "users": lambda: enrich_users(rows, as_of),
+        "applications": lambda: enrich_applications(rows),
+        "payments": lambda: enrich_payments(rows),
+        "documents": lambda: enrich_documents(rows),
+        "support_tickets": lambda: enrich_tickets(rows, as_of),
+    }
+    return special[name]() if name in special else rows
+
+
 def silver_rates(documents: DataFrame, tickets: DataFrame) -> DataFrame:
     """Verified share, resolved share and open high-priority tickets: one row per measure."""
     n = F.count(F.lit(1))
@@ -226,15 +304,15 @@ def flag_payment_retry(payments: DataFrame, **skew) -> DataFrame:
     ``retry_after_failure``: an earlier attempt of that application failed.
 
     Attempts are ordered by time and id.  Both flags only need the first (failed) attempt per
-    application, which is a map-side combined minimum; each task sorts its rows by key, never a whole history, so an
-    application with a huge number of attempts costs the same per row as any other.
+    application, a hash-aggregated minimum that is combined map-side.  The attempts then meet one row a key, a
+    join that adaptive execution splits where a key is hot; ``hot_rows`` salts hot keys instead.
     """
-    attempt = F.struct("payment_time", "payment_id")
+    attempt = moment("payment_time", "payment_id")
     firsts = payments.groupBy("application_id").agg(
         F.min(attempt).alias("_first"),
         F.min(F.when(F.col("status") == "Failed", attempt)).alias("_first_failed"),
     )
-    joined = skew_join(payments, firsts, "application_id", "left", "left", "payment_id", **skew)
+    joined = join_one(payments, firsts, "application_id", spread_on="payment_id", **skew)
     return joined.select(
         *payments.columns,
         flag(attempt > F.col("_first")).alias("attempt_is_retry"),

@@ -6,9 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings.  AQE splits skewed join partitions and re-plans on measured sizes; the
 # forced variant lets it do so even when that costs one more shuffle downstream.
@@ -51,6 +53,12 @@ def local_session(
     return spark
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; a missing one is no error."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -78,10 +86,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/strataflow/{purpose}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
+def store(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a result that several plans share, and return the stored form.
 
     This cuts the lineage: whatever is built on the result scans files that survive a lost
-    executor, reads only the columns it needs and knows the true size."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor, reads only the columns it needs and knows the true size.  ``partition_by`` is meant for columns of few values that
+    readers filter on: they then open only the partitions they want."""
+    return store_counted(df, path, partition_by)[0]
+
+
+def store_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """``store``, and the number of rows, counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (stored.select(*[f"`{c.replace('`', '``')}`" for c in df.columns]) if partition_by else stored), int(seen.get["rows"])

@@ -14,6 +14,7 @@ from .catalog import (
     list_tables,
     manifest,
     read_table,
+    schema_properties,
     table_name,
     tag_schema,
     write_table,
@@ -36,6 +37,7 @@ __all__ = [
     "list_tables",
     "manifest",
     "read_table",
+    "schema_properties",
     "table_name",
     "tag_schema",
     "write_table",

@@ -64,6 +64,13 @@ def tag_schema(
     spark.sql(f"ALTER SCHEMA {_ident(layer_schema(layer, catalog))} SET DBPROPERTIES ({pairs})")
 
 
+def schema_properties(spark: SparkSession, layer: str, catalog: str | None = None) -> dict[str, str]:
+    """What ``tag_schema`` has set."""
+    described = spark.sql(f"DESCRIBE SCHEMA EXTENDED {_ident(layer_schema(layer, catalog))}").collect()
+    listed = next((r["info_value"] for r in described if r["info_name"] == "Properties"), "")
+    return dict(pair.split(",", 1) for pair in listed.strip("()").split("), (") if "," in pair)
+
+
 def list_schemas(spark: SparkSession) -> list[str]:
     return sorted(d.name for d in spark.catalog.listDatabases())
 
@@ -103,16 +110,22 @@ def _is_view(spark: SparkSession, name: str) -> bool:
 
 
 def _publish(
-    spark: SparkSession, name: str, version: str, rows: int, previous: str | None, comment: str | None, columns: Mapping[str, str]
+    spark: SparkSession,
+    name: str,
+    version: str,
+    rows: int,
+    previous: str | None,
+    comment: str | None,
+    comments: Mapping[str, str],
+    columns: Sequence[str],
 ) -> None:
-    """Let ``name`` show ``version``: one change in the catalog."""
-    shown = ", ".join(
-        _ident_part(c) + (f" COMMENT {_text(columns[c])}" if columns.get(c) else "") for c in spark.table(version).columns
-    )
+    """Let ``name`` show ``columns`` of ``version``: one change in the catalog."""
+    shown = ", ".join(_ident_part(c) + (f" COMMENT {_text(comments[c])}" if comments.get(c) else "") for c in columns)
+    picked = ", ".join(map(_ident_part, columns))
     props = {"version": version, "row_count": rows, **({"previous": previous} if previous else {})}
     pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in props.items())
     about = f" COMMENT {_text(comment)}" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {_ident(name)} ({shown}){about} TBLPROPERTIES ({pairs}) AS SELECT * FROM {_ident(version)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {_ident(name)} ({shown}){about} TBLPROPERTIES ({pairs}) AS SELECT {picked} FROM {_ident(version)}")
 
 
 def _drop_version(spark: SparkSession, version: str) -> None:
@@ -180,7 +193,7 @@ def write_table(
         columns = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
     elif known:  # a table of another origin: it gives way once
         spark.sql(f"DROP TABLE {_ident(name)}")
-    _publish(spark, name, version, rows, now.get("version"), comment, columns)
+    _publish(spark, name, version, rows, now.get("version"), comment, columns, df.columns)
     if now.get("previous"):
         _drop_version(spark, now["previous"])
     return rows
@@ -270,7 +283,10 @@ def comment_table(
         now = _properties(spark, name)
         comment = comment if comment is not None else spark.catalog.getTable(name).description
         known = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description}
-        _publish(spark, name, now["version"], int(now["row_count"]), now.get("previous"), comment, known | dict(columns or {}))
+        _publish(
+            spark, name, now["version"], int(now["row_count"]), now.get("previous"), comment, known | dict(columns or {}),
+            spark.table(name).columns,
+        )
         return
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {_ident(name)} IS {_text(comment)}")

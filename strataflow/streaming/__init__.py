@@ -1,3 +1,4 @@
 from .incremental import ingest_incremental, new_rows
+from .merge import CurrentRows, refresh_partitions
 
-__all__ = ["ingest_incremental", "new_rows"]
+__all__ = ["CurrentRows", "ingest_incremental", "new_rows", "refresh_partitions"]

@@ -9,6 +9,7 @@ OPTIONAL_NUMBERS: dict[str, tuple[str, ...]] = {
     "silver_applications": ("processing_days_actual",),
     "silver_tickets": ("application_id",),
     "silver_rates": ("high_priority_open",),
+    "dq_history": ("previous_issue_count", "new_issues"),
     "row_count_delta": ("previous_value",),
     "application_funnel": (
         "hours_created_to_approved", "hours_docs_to_review", "hours_review_to_approval",

@@ -463,9 +463,18 @@ SELECT check_category, check_name, table_affected, {big('issue_count')} AS issue
        {share('issue_count', 'total_checks')} AS issue_pct, {share('(total_checks - issue_count)', 'total_checks')} AS pass_rate,
        severity, CASE WHEN check_category = 'Business Rule' THEN 'Documented' WHEN issue_count = 0 THEN 'Passed' ELSE 'Failed' END AS resolution_status,
        {dbl('weight')} AS rubric_score_weight,
-       {r('CAST(total_checks - issue_count AS DOUBLE) * weight / nullif(total_checks, 0)')} AS weighted_score_contribution
+       {r('CAST(total_checks - issue_count AS DOUBLE) * weight / nullif(total_checks, 0)')} AS weighted_score_contribution,
+       {AS_OF} AS checked_at
 FROM checks"""
 
+PARTS["early_applications"] = "SELECT * FROM silver_applications WHERE application_date < DATE '1997-01-01'"
+PARTS["early_payments"] = "SELECT * FROM silver_payments WHERE payment_year < 1997"
+PARTS["early_quality"] = (
+    PARTS["gold_quality"].replace("FROM silver_applications", "FROM early_applications")
+    .replace("JOIN silver_applications", "JOIN early_applications").replace("FROM silver_payments", "FROM early_payments")
+    .replace(AS_OF, "TIMESTAMP '1997-01-01 00:00:00'")
+)
+
 # --- queries ------------------------------------------------------------------------------
 
 _MONEY_REVENUE = ", ".join(
@@ -509,6 +518,45 @@ def _trend(by: str) -> str:
        {share(n_if('is_late_completion'), 'count(*)')} AS late_pct FROM silver_applications GROUP BY ALL"""
 
 
+# A text column of each table that its versions differ in.
+_VERSIONED = {
+    "countries": "currency", "visa_types": "visa_type_name", "airports": "airport_name", "users": "city",
+    "passports": "issuing_country", "applications": "platform", "payments": "currency", "documents": "document_type",
+    "application_events": "event_type", "reviews": "review_text", "support_tickets": "category",
+}
+_VALID = {
+    "users": f"regexp_full_match(lower(trim(email)), {EMAIL})",
+    "applications": "application_date IS NOT NULL AND user_id IS NOT NULL",
+    "payments": "amount > 0 AND payment_time IS NOT NULL",
+}
+
+
+def _versions(table: str) -> str:
+    """The version of each key that arrived last: 3 late corrections, 2 the rows themselves, 1 what they were before."""
+    key, column, valid = _RAW[table], _VERSIONED[table], _VALID.get(table, "TRUE")
+    return f"""
+SELECT '{table}' AS table_name, {big('key')} AS key, value FROM (
+  SELECT {key} AS key, 'new' AS value, 3 AS came FROM raw_{table} WHERE {key} % 3 = 0 AND {valid}
+  UNION ALL SELECT {key}, {column}, 2 FROM raw_{table} WHERE {valid}
+  UNION ALL SELECT {key}, 'old', 1 FROM raw_{table} WHERE {key} % 5 = 0 AND {valid})
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY came DESC) = 1"""
+
+
+def _broken(table: str, checks: dict[str, str]) -> str:
+    """Rows per broken rule; a rule that is unknown is not broken."""
+    bad = " OR ".join(f"coalesce(NOT ({c}), FALSE)" for c in checks.values())
+    counts = {"rows read": "TRUE", "good rows": f"NOT ({bad})", "rejected rows": bad, "good rows stored": f"NOT ({bad})",
+              "rejected rows stored": bad, **{name: f"coalesce(NOT ({c}), FALSE)" for name, c in checks.items()}}
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS check_name, {n_if(c)} AS rows FROM raw_{table}" for name, c in counts.items()
+    )
+
+
+def _applicants(period: str, *parts: str) -> str:
+    label = " || '-' || ".join(txt(p) for p in parts) or "''"
+    return f"SELECT '{period}' AS period, {label} AS label, count(DISTINCT user_id) AS applicants FROM silver_applications GROUP BY ALL"
+
+
 def _duration(step: str, start: str, end: str) -> str:
     return f"SELECT visa_type_id, '{step}' AS step, date_sub('hour', {start}, {end}) AS h FROM gold_funnel"
 
@@ -516,7 +564,83 @@ def _duration(step: str, start: str, end: str) -> str:
 _APPROVED, _REJECTED, _PENDING = (n_if(f"status = '{s}'") for s in ("Approved", "Rejected", "Pending"))
 _OK, _BAD = "sum(successful_payments)", "sum(failed_payments)"
 
+_STEPS = (
+    ("created to documents", "created_at", "docs_uploaded_at"),
+    ("documents to review", "docs_uploaded_at", "under_review_at"),
+    ("review to approval", "under_review_at", "approved_at"),
+    ("created to approval", "created_at", "approved_at"),
+)
+_STEP_ROWS = " UNION ALL ".join(
+    f"SELECT country_id, '{step}' AS step, date_sub('hour', {start}, {end}) AS h FROM gold_funnel" for step, start, end in _STEPS
+)
+
 QUERIES: dict[str, str] = {
+    "catalog_scan": """
+SELECT 'name' AS scanned_by, status AS name, count(*) AS rows FROM silver_applications GROUP BY status
+UNION ALL SELECT 'sql', continent, count(*) FROM silver_countries GROUP BY continent""",
+    "catalog_namespace": "SELECT 'property' AS kind, 'description' AS name, 'Cleaned data' AS value UNION ALL "
+    "SELECT 'property', 'layer', 'silver' UNION ALL SELECT 'schema', 'own schema', 'true' UNION ALL "
+    + _per_table("SELECT 'table', 'silver_{table}', 'listed'", _RAW) + " UNION ALL "
+    + _per_table("SELECT 'rows', 'silver_{table}', CAST(count(*) AS VARCHAR) FROM silver_{table}", _RAW),
+    "append_by_status": """
+SELECT application_year, count(*) AS rows, count(DISTINCT status) AS statuses,
+       (SELECT count(*) FROM silver_applications) AS rows_of_table FROM silver_applications GROUP BY 1""",
+    "table_replace": f"""
+SELECT country, user_id % 2 AS half, count(*) AS users, {n_if('is_verified')} AS verified FROM silver_users GROUP BY 1, 2""",
+    "table_comments": """
+SELECT 'country_id' AS col_name, CASE typeof(country_id) WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' END AS data_type,
+       'the key' AS comment FROM silver_countries GROUP BY ALL
+UNION ALL SELECT 'visa_fee_usd', lower(typeof(visa_fee_usd)), 'fee in dollars' FROM silver_countries GROUP BY ALL
+UNION ALL SELECT '(table)', 'table', 'Destinations'
+UNION ALL SELECT '(bounded read)', 'rows', CAST(least(count(*), 7) AS VARCHAR) FROM silver_countries""",
+    "bronze_audit": " UNION ALL ".join(
+        f"SELECT 'raw.raw_{t}' AS bronze_source_table, '2001-08-07 00:00:00' AS ingested_at, count(*) AS rows, "
+        f"count(DISTINCT {k}) AS keys FROM raw_{t}" for t, k in _RAW.items()
+    ),
+    "dedup_any_applications": f"""
+SELECT DISTINCT application_id, user_id, status, {txt('completed_date')} AS completed_date FROM raw_applications""",
+    "silver_versions": " UNION ALL ".join(f"SELECT * FROM ({_versions(t)})" for t in _RAW),
+    "silver_incremental": f"SELECT * REPLACE ({dbl('amount')} AS amount) FROM silver_payments",
+    "gold_incremental": f"SELECT * REPLACE ({_MONEY_REVENUE}) FROM gold_revenue",
+    "quarantine_report": _broken("applications", {
+        "types": "application_id % 300 <> 0",
+        "user known": "user_id IS NOT NULL",
+        "date known": "application_date IS NOT NULL",
+        "date in range": "application_date BETWEEN DATE '1993-01-01' AND DATE '1997-12-31'",
+        "completed after application": "completed_date >= application_date",
+        "status known": "status IN ('Approved', 'Rejected', 'Pending')",
+    }) + " UNION ALL " + _broken("payments", {
+        "amount positive": "amount > 0",
+        "amount plausible": "amount BETWEEN 1 AND 450",
+        "time known": "payment_time IS NOT NULL",
+    }),
+    "dq_history": f"""
+WITH runs AS (SELECT * FROM early_quality UNION ALL SELECT * FROM gold_quality),
+seen AS (SELECT *, lag(issue_count) OVER w AS previous_issue_count, lag(pass_rate) OVER w AS previous_pass_rate
+         FROM runs WINDOW w AS (PARTITION BY check_category, check_name, table_affected ORDER BY checked_at))
+SELECT checked_at, check_category, check_name, table_affected, issue_count, total_checks, pass_rate, resolution_status,
+       previous_issue_count, issue_count - previous_issue_count AS new_issues,
+       {r('pass_rate - previous_pass_rate')} AS pass_rate_change, coalesce(pass_rate < previous_pass_rate, FALSE) AS is_worse
+FROM seen""",
+    "applicants_by_period": " UNION ALL ".join((
+        _applicants("month", "application_year", "application_quarter", "application_month"),
+        _applicants("quarter", "application_year", "application_quarter"),
+        _applicants("year", "application_year"),
+        "SELECT 'all', '', count(DISTINCT user_id) FROM silver_applications",
+    )),
+    "applicants_by_country": """
+SELECT application_year, country_id, count(DISTINCT user_id) AS applicants FROM silver_applications GROUP BY 1, 2""",
+    "stage_medians": f"""
+WITH steps AS ({_STEP_ROWS})
+SELECT country_id, step, count(h) AS applications, quantile_disc(h, 0.5) AS median_hours FROM steps WHERE h IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT -1, step, count(h), quantile_disc(h, 0.5) FROM steps WHERE h IS NOT NULL GROUP BY step""",
+    "abandonment_by_visa_type": _abandonment("visa_type_id", "silver_applications", "status"),
+    "abandonment_by_month": _abandonment("application_year, application_month", "silver_applications", "status"),
+    "trend_by_visa_type": _trend("visa_type_id"),
+    "payment_health_by_visa_type": f"""
+SELECT visa_type_name, payment_method, {big(_OK)} AS successful_payments, {big(_BAD)} AS failed_payments,
+       {share(_OK, f'({_OK} + {_BAD})')} AS success_rate, {money_avg('sum(total_revenue)', 'sum(total_transactions)')} AS avg_value,
+       {dbl('sum(revenue_lost_to_failed_payments)')} AS revenue_lost FROM gold_revenue GROUP BY 1, 2""",
     "bronze_ingest": _per_table("SELECT '{table}' AS \"table\", TRUE AS success, count(*) AS rows FROM raw_{table}", _RAW),
     "bronze_source_files": " UNION ALL ".join(
         f"SELECT '{t}' AS source_table, count(*) AS rows FROM {t}"
@@ -808,12 +932,7 @@ SELECT country_name, count(*) AS cells, {dbl('sum(total_revenue)')} AS total_rev
     "stage_durations": "WITH steps AS ("
     + " UNION ALL ".join(
         _duration(*step)
-        for step in (
-            ("created to documents", "created_at", "docs_uploaded_at"),
-            ("documents to review", "docs_uploaded_at", "under_review_at"),
-            ("review to approval", "under_review_at", "approved_at"),
-            ("created to approval", "created_at", "approved_at"),
-        )
+        for step in _STEPS
     )
     + f""")
 SELECT visa_type_id, step, count(h) AS applications, {r('avg(h)')} AS avg_hours, quantile_disc(h, 0.5) AS median_hours, min(h) AS min_hours, max(h) AS max_hours

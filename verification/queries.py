@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,14 @@ from strataflow.functions import month_start, week_start
 from strataflow.operators import (
     cast_columns,
     change_from_previous,
+    dedup_any,
     dedup_latest,
     dedup_report,
     fill_defaults,
     join_first,
     last_event,
     preview,
+    quarantine,
     reject_counts,
     row_filter,
     slice_rows,
@@ -27,13 +30,14 @@ from strataflow.operators import (
     union_reports,
 )
 from strataflow.plans import gold, kpis, quality, silver
-from strataflow.plans.lakehouse import Lakehouse
+from strataflow.plans.lakehouse import GOLD_TABLES, Lakehouse
 from strataflow.schemas import KEYS, RAW_SCHEMAS, TABLES
-from strataflow.session import shared_folder, tune
+from strataflow.session import shared_folder, store, tune
+from strataflow.sources import catalog
 from strataflow.sources.bronze import ingest_all
 from strataflow.sources.catalog import add_source_file, layer_summary, manifest
 from strataflow.sources.fixtures import PAYMENT_ORDER, Fixtures
-from strataflow.streaming import ingest_incremental, new_rows
+from strataflow.streaming import CurrentRows, ingest_incremental, new_rows, refresh_partitions
 
 from .columns import OPTIONAL_NUMBERS
 
@@ -218,12 +222,14 @@ def _(l: Lakehouse) -> DataFrame:
 
 @query("layer_manifest")
 def _(l: Lakehouse) -> DataFrame:
-    return manifest({f"silver_{t}": df for t, df in l.all_silver().items()})
+    l.all_silver()
+    return l.manifest("silver", TABLES)  # counted while they were written
 
 
 @query("gold_manifest")
 def _(l: Lakehouse) -> DataFrame:
-    return manifest({f"gold_{t}": df for t, df in l.all_gold().items()})
+    l.all_gold()
+    return l.manifest("gold", GOLD_TABLES)
 
 
 @query("layer_summary")
@@ -231,6 +237,213 @@ def _(l: Lakehouse) -> DataFrame:
     return layer_summary(manifest({f"silver_{t}": df for t, df in l.all_silver().items()}), "silver")
 
 
+# --- catalog tables, each in a schema of its own -------------------------------------------
+
+
+@contextmanager
+def own_schema(l: Lakehouse) -> Iterator[str]:
+    """A schema that no table of the user is in, dropped in the end."""
+    schema = f"own_{uuid.uuid4().hex}"
+    place = shared_folder(l.spark, schema)
+    catalog.ensure_schema(l.spark, schema, location=place)
+    try:
+        yield schema
+    finally:
+        l.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """A report, written before the tables it was read from are dropped."""
+    return store(df, shared_folder(df.sparkSession, "report"))
+
+
+@query("catalog_scan")
+def _(l: Lakehouse) -> DataFrame:
+    """A table by its name in the catalog, another by its three-part name in SQL."""
+    with own_schema(l) as schema:
+        catalog.build_silver("applications", l.silver("applications"), schema=schema, bucket_by=(8, "application_id"))
+        catalog.build_silver("countries", l.silver("countries"), schema=schema)
+        by_name = catalog.read_table(l.spark, f"{schema}.silver_applications").groupBy(F.col("status").alias("name")).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+        by_sql = l.spark.sql(
+            f"SELECT continent AS name, count(*) AS rows FROM spark_catalog.{schema}.silver_countries GROUP BY continent"
+        )
+        return _kept(
+            by_name.select(F.lit("name").alias("scanned_by"), "*").unionByName(by_sql.select(F.lit("sql").alias("scanned_by"), "*"))
+        )
+
+
+@query("catalog_namespace")
+def _(l: Lakehouse) -> DataFrame:
+    """A tagged schema, its properties, its tables and their sizes."""
+    with own_schema(l) as schema:
+        catalog.tag_schema(l.spark, schema, {"description": "Cleaned data", "layer": "silver"})
+        for t in TABLES:
+            catalog.write_table(l.silver(t), f"{schema}.silver_{t}")
+        tags = [("property", k, v) for k, v in catalog.schema_properties(l.spark, schema).items() if k in ("description", "layer")]
+        listed = [("table", t, "listed") for t in catalog.list_tables(l.spark, schema)]
+        known = [("schema", "own schema", str(schema in catalog.list_schemas(l.spark)).lower())]
+        sizes = catalog.layer_manifest(l.spark, schema).select(
+            F.lit("rows").alias("kind"), F.col("table_name").alias("name"), F.col("row_count").cast("string").alias("value")
+        )
+        facts = l.spark.createDataFrame(tags + listed + known, "kind string, name string, value string")
+        return _kept(facts.unionByName(sizes))
+
+
+@query("append_by_status")
+def _(l: Lakehouse) -> DataFrame:
+    """A table that grows by appends, partitioned by year."""
+    apps = l.silver("applications").select("application_id", "status", "application_year")
+    with own_schema(l) as schema:
+        name = f"{schema}.applications"
+        for k, status in enumerate(("Approved", "Pending", "Rejected", "Cancelled")):
+            some = apps.where(F.col("status") == status)
+            catalog.write_table(some, name, "append" if k else "overwrite", partition_by=["application_year"])
+        counted = catalog.layer_manifest(l.spark, schema).first()["row_count"]
+        return _kept(l.spark.table(name).groupBy("application_year").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("status").alias("statuses"),
+            F.lit(counted).cast("bigint").alias("rows_of_table"),
+        ))
+
+
+@query("table_replace")
+def _(l: Lakehouse) -> DataFrame:
+    """Full refreshes of a table that reads itself, with new columns: silver first, then a gold table over it."""
+    users = l.silver("users").select("user_id", "country", "is_verified")
+    with own_schema(l) as schema:
+        name = f"{schema}.users"
+        catalog.write_table(users.where("is_verified"), name)
+        catalog.write_table(users, name)
+        catalog.write_table(l.spark.table(name).withColumn("half", F.col("user_id") % 2), name)
+        for columns in (["country"], ["country", "half"]):
+            grouped = l.spark.table(name).groupBy(*columns).agg(
+                F.count(F.lit(1)).alias("users"), F.count_if("is_verified").alias("verified")
+            )
+            catalog.build_gold("users_by_country", grouped, schema=schema)
+        return _kept(l.spark.table(f"{schema}.gold_users_by_country").drop("gold_created_timestamp"))
+
+
+@query("table_comments")
+def _(l: Lakehouse) -> DataFrame:
+    """Comments on a table and its columns, kept by its next version, and a bounded look at it."""
+    with own_schema(l) as schema:
+        name = f"{schema}.visa_countries"
+        catalog.write_table(l.silver("countries"), name)
+        catalog.comment_table(l.spark, name, "Destinations", {"country_id": "the key", "visa_fee_usd": "fee in dollars"})
+        catalog.write_table(l.silver("countries").where("country_id >= 0"), name)
+        described = catalog.describe(l.spark, name).where("comment is not null and comment <> ''").select(
+            "col_name", "data_type", "comment"
+        )
+        about = catalog.describe(l.spark, name).where("col_name = 'Comment'").select(
+            F.lit("(table)").alias("col_name"), F.lit("table").alias("data_type"), F.col("data_type").alias("comment")
+        )
+        seen = catalog.bounded_read(l.spark, name, 7).agg(
+            F.lit("(bounded read)").alias("col_name"), F.lit("rows").alias("data_type"), F.count(F.lit(1)).cast("string").alias("comment")
+        )
+        return _kept(described.unionByName(about).unionByName(seen))
+
+
+@query("bronze_audit")
+def _(l: Lakehouse) -> DataFrame:
+    per_table = [
+        catalog.add_audit(l.raw(t).select(*RAW_SCHEMAS[t].names), "bronze", f"raw.raw_{t}", AS_OF)
+        .groupBy("bronze_source_table", F.date_format("bronze_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(KEYS[t]).alias("keys"))
+        for t in TABLES
+    ]
+    return union_reports(*per_table)
+
+
+@query("dedup_any_applications")
+def _(l: Lakehouse) -> DataFrame:
+    """Every 200th application arrives twice, alike: any copy will do."""
+    return dedup_any(l.raw("applications"), "application_id").select("application_id", "user_id", "status", "completed_date")
+
+
+# --- versions and increments --------------------------------------------------------------
+
+# A text column of each table that later and earlier versions of a row differ in.
+_VERSIONED = {
+    "countries": "currency", "visa_types": "visa_type_name", "airports": "airport_name", "users": "city",
+    "passports": "issuing_country", "applications": "platform", "payments": "currency", "documents": "document_type",
+    "application_events": "event_type", "reviews": "review_text", "support_tickets": "category",
+}
+
+
+@query("silver_versions")
+def _(l: Lakehouse) -> DataFrame:
+    """All eleven tables with real versions: a third of the keys is corrected later, a fifth had been different before."""
+
+    def versions(table: str) -> DataFrame:
+        key, column = F.col(KEYS[table]), _VERSIONED[table]
+        extra = PAYMENT_ORDER if table == "payments" else ()
+        raw = l.raw(table).select(*RAW_SCHEMAS[table].names, *extra)
+
+        def at(rows: DataFrame, day: str) -> DataFrame:
+            return rows.withColumn(silver.ARRIVAL, F.lit(f"{day} 00:00:00").cast("timestamp"))
+
+        late = at(raw.where(key % 3 == 0).withColumn(column, F.lit("new")), "2001-02-01")
+        early = at(raw.where(key % 5 == 0).withColumn(column, F.lit("old")), "2000-12-01")
+        return late.unionByName(at(raw, "2001-01-01")).unionByName(early)
+
+    return union_reports(*[
+        silver.clean_table(t, versions(t), AS_OF, PAYMENT_ORDER).select(
+            F.lit(t).alias("table_name"), F.col(KEYS[t]).cast("bigint").alias("key"), F.col(_VERSIONED[t]).alias("value")
+        )
+        for t in TABLES
+    ])
+
+
+def _payments_in_three_loads(l: Lakehouse) -> tuple[CurrentRows, str]:
+    """Payments that arrive in three loads, versions out of order and a tenth of the first load once more, merged by key as
+    they come; the revenue cube is refreshed after each load where it is touched."""
+    folder = shared_folder(l.spark, "increments")
+    raw = l.raw("payments").select(*RAW_SCHEMAS["payments"].names, *PAYMENT_ORDER)
+    load = F.pmod(F.xxhash64(*PAYMENT_ORDER, "payment_id"), F.lit(3))
+    cube, bronze = f"{folder}/revenue", f"{folder}/bronze"
+    current = CurrentRows(l.spark, "payments", f"{folder}/payments", PAYMENT_ORDER, range_keys=200_000)
+    month = ["payment_year", "payment_month"]
+
+    def refresh(batch: int) -> None:
+        touched = silver.enrich_payments(current.changes(batch))
+        refresh_partitions(
+            touched, month, lambda wanted: gold.revenue_metrics(
+                current.silver().where(wanted), l.silver("applications"), l.silver("countries"), l.silver("visa_types")
+            ), cube,
+        )
+
+    for number in range(3):
+        came = raw.where(load == number)
+        if number:
+            came = came.unionByName(raw.where((load == 0) & (F.col("payment_id") % 10 == 0)))
+        came.write.mode("append").parquet(bronze)
+        current.follow(bronze, raw.schema, f"{folder}/checkpoint", refresh)
+    return current, cube
+
+
+_INCREMENTS: dict[int, tuple[CurrentRows, str]] = {}
+
+
+def _increments(l: Lakehouse) -> tuple[CurrentRows, str]:
+    if id(l) not in _INCREMENTS:
+        _INCREMENTS[id(l)] = _payments_in_three_loads(l)
+    return _INCREMENTS[id(l)]
+
+
+@query("silver_incremental")
+def _(l: Lakehouse) -> DataFrame:
+    return _increments(l)[0].silver(AS_OF)
+
+
+@query("gold_incremental")
+def _(l: Lakehouse) -> DataFrame:
+    """The revenue cube, kept up to date month by month."""
+    _, cube = _increments(l)
+    whole = l.plan("revenue_metrics")
+    return l.spark.read.schema(whole.schema).parquet(cube).select(*whole.columns)
+
+
 # --- quality ------------------------------------------------------------------------------
 
 
@@ -300,6 +513,55 @@ def _(l: Lakehouse) -> DataFrame:
     return quality.schema_drift(arrived, RAW_SCHEMAS["support_tickets"])
 
 
+@query("quarantine_report")
+def _(l: Lakehouse) -> DataFrame:
+    """Applications, as they came, and payments: rows that break a rule set apart and counted in the pass that writes the others."""
+    day = F.col("application_date")
+    k = F.col("application_id")
+    typed = cast_columns(
+        l.raw("applications").withColumn("travel_date", F.when(k % 300 == 0, "n/a").otherwise(F.col("travel_date").cast("string"))),
+        {"travel_date": "date"},
+    )
+    rules = {
+        "applications": (typed, {
+            "types": F.size("rejected_columns") == 0,
+            "user known": F.col("user_id").isNotNull(),
+            "date known": day.isNotNull(),
+            "date in range": day.between(F.lit("1993-01-01").cast("date"), F.lit("1997-12-31").cast("date")),
+            "completed after application": F.col("completed_date") >= day,
+            "status known": F.col("status").isin("Approved", "Rejected", "Pending"),
+        }),
+        "payments": (l.raw("payments"), {
+            "amount positive": F.col("amount") > 0,
+            "amount plausible": F.col("amount").between(1, 450),
+            "time known": F.col("payment_time").isNotNull(),
+        }),
+    }
+    reports = []
+    for table, (rows, checks) in rules.items():
+        split = quarantine(rows, checks, shared_folder(l.spark, f"quarantine-{table}"))
+        stored = split.good.select(F.lit("good rows stored").alias("check_name")).unionAll(
+            split.rejected.select(F.lit("rejected rows stored"))
+        ).groupBy("check_name").agg(F.count(F.lit(1)).alias("rows"))
+        reports.append(split.report().unionByName(stored).select(F.lit(table).alias("table_name"), "check_name", "rows"))
+    return union_reports(*reports)
+
+
+@query("dq_history")
+def _(l: Lakehouse) -> DataFrame:
+    """Two runs of the quality log, of the tables up to 1996 and of all, and what changed between them."""
+    history = shared_folder(l.spark, "dq-history")
+    s = l.silver
+    before = F.col("application_date") < F.lit("1997-01-01").cast("date")
+    runs = (
+        (s("users"), s("applications").where(before), s("payments").where("payment_year < 1997"), datetime(1997, 1, 1)),
+        (s("users"), s("applications"), s("payments"), AS_OF),
+    )
+    for users, apps, payments, moment in runs:
+        recorded = quality.record_run(quality.dq_log(users, apps, payments, moment), history)
+    return quality.dq_changes(recorded)
+
+
 @query("row_count_delta")
 def _(l: Lakehouse) -> DataFrame:
     log = l.silver("application_events").groupBy(
@@ -395,7 +657,8 @@ def _(l: Lakehouse) -> DataFrame:
     columns = ["application_week", "country_name", "visa_type_name", "total_applications", "late_completion_pct"]
     return slice_rows(
         l.gold("operational_metrics"),
-        F.col("application_week") >= F.lit("1997-01-01").cast("date"),
+        # the year says nothing new, but the table is partitioned by it
+        (F.col("application_week") >= F.lit("1997-01-01").cast("date")) & (F.col("application_year") >= 1997),
         columns,
         [F.desc("application_week"), "country_name", "visa_type_name", "total_applications", "late_completion_pct"],
         10,
@@ -493,6 +756,54 @@ def _(l: Lakehouse) -> DataFrame:
     return kpis.revenue_breakdown(l.gold("revenue_metrics"), [month])
 
 
+@query("applicants_by_period")
+def _(l: Lakehouse) -> DataFrame:
+    """Distinct applicants by month, quarter, year and in all, from one stored state of bitmaps."""
+    state = l.state("applicants", lambda: kpis.applicant_state(l.silver("applications")))
+
+    def period(grain: str) -> DataFrame:
+        parts = kpis.PERIODS[grain]
+        label = F.concat_ws("-", *[F.col(c).cast("string") for c in parts]) if parts else F.lit("")
+        return kpis.applicants(state, grain).select(F.lit(grain).alias("period"), label.alias("label"), "applicants")
+
+    return union_reports(*[period(grain) for grain in kpis.PERIODS])
+
+
+@query("applicants_by_country")
+def _(l: Lakehouse) -> DataFrame:
+    """The same stored state by country and year."""
+    state = l.state("applicants", lambda: kpis.applicant_state(l.silver("applications")))
+    return kpis.applicants(state, "year", ["country_id"])
+
+
+@query("stage_medians")
+def _(l: Lakehouse) -> DataFrame:
+    """Median hours of each step by country and in all, from one stored state."""
+    hours = l.state("stage_hours", lambda: kpis.stage_hours(l.gold("application_funnel")))
+    by_country = kpis.stage_medians(hours, ["country_id"])
+    return by_country.unionByName(kpis.stage_medians(hours).withColumn("country_id", F.lit(-1)))
+
+
+@query("abandonment_by_visa_type")
+def _(l: Lakehouse) -> DataFrame:
+    return kpis.abandonment_by(l.silver("applications"), ["visa_type_id"])
+
+
+@query("abandonment_by_month")
+def _(l: Lakehouse) -> DataFrame:
+    return kpis.abandonment_by(l.silver("applications"), ["application_year", "application_month"])
+
+
+@query("trend_by_visa_type")
+def _(l: Lakehouse) -> DataFrame:
+    return kpis.application_trend(l.silver("applications"), ["visa_type_id"])
+
+
+@query("payment_health_by_visa_type")
+def _(l: Lakehouse) -> DataFrame:
+    return kpis.payment_health(l.gold("revenue_metrics"), ["visa_type_name", "payment_method"])
+
+
 @query("trend_weekly")
 def _(l: Lakehouse) -> DataFrame:
     return kpis.application_trend(l.silver("applications"), [week_start("application_date").alias("application_week")])
