@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import with_match
 
 
 def preview(df: DataFrame, columns: Sequence[str], n: int = 10, order_by: str | None = None) -> DataFrame:
@@ -30,7 +31,7 @@ def row_filter(df: DataFrame, key: str, allowed: DataFrame | None) -> DataFrame:
     """Only the rows a role may see.  ``None`` means no restriction."""
     if allowed is None:
         return df
-    return df.join(allowed.select(key).distinct(), key, "left_semi")
+    return with_match(df, allowed, key)
 
 
 def fill_defaults(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:

@@ -27,7 +27,7 @@ from ..functions import (
 )
 from ..functions.moments import time_of
 from ..operators.grouping import first_times, group_with_share, group_with_totals, newest_by, pct_within, top_k
-from ..operators.joins import join_dim, join_many, join_one, without_match
+from ..operators.joins import join_dim, join_many, join_one, star_join, without_match
 
 
 def _rows() -> Column:
@@ -343,8 +343,9 @@ def revenue_metrics(
             "avg_successful_value": exact_avg(earned, ok),
         }
     )
-    named = join_dim(cube, countries, "country_id", ["country_name", "continent"])
-    named = join_dim(named, visa_types, "visa_type_id", ["visa_type_name"])
+    named = star_join(
+        cube, [(countries, "country_id", ["country_name", "continent"]), (visa_types, "visa_type_id", ["visa_type_name"])]
+    )
     return named.select(
         "country_id", "country_name", "continent", "visa_type_id", "visa_type_name", *PAYMENT_DIMS,
         "total_transactions", "total_applications", "total_revenue", "avg_transaction_value",

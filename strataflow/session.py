@@ -72,18 +72,38 @@ def _local_folder() -> str:
     return folder
 
 
+_MADE: list[str] = []
+
+
+def drop_shared(spark: SparkSession) -> None:
+    """Delete all folders that this process made by ``shared_folder``: results built on them must have been written by then."""
+    while _MADE:
+        remove_folder(spark, _MADE.pop())
+
+
+@atexit.register
+def _drop_local() -> None:
+    """What is left at the end of the process, where it lies on a file system that Python sees; elsewhere call ``drop_shared``."""
+    for path in _MADE:
+        plain = path.removeprefix("file://").removeprefix("file:")
+        if plain.startswith("/"):
+            shutil.rmtree(plain, ignore_errors=True)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for ``purpose`` below the folder named by ``spark.checkpoint.dir``.
 
     Data written there outlives the executors, so a lost executor never loses it.  Where the
-    setting is missing, only a local-mode session (a test) may fall back to a temporary folder.
+    setting is missing, only a local-mode session (a test) may fall back to a temporary folder.  The folder goes with the
+    process that made it, or earlier by ``drop_shared``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_folder()
-    return f"{base.rstrip('/')}/strataflow/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/strataflow/{purpose}-{uuid.uuid4().hex}")
+    return _MADE[-1]
 
 
 def store(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,25 @@ def test_read_with_schema_and_source_file(spark, tmp_path):
     assert named.where(F.col("source_file").contains(".parquet")).count() == 3
 
 
+def test_shared_folders_go_with_their_process(tmp_path):
+    """Folders below a given checkpoint folder do not outlive the process that made them."""
+    import subprocess
+    import sys
+
+    code = (
+        "from strataflow.session import local_session, shared_folder, store, drop_shared\n"
+        f"spark = local_session(1, extra={{'spark.checkpoint.dir': {str(tmp_path)!r}}})\n"
+        "paths = [shared_folder(spark, 'x') for _ in range(2)]\n"
+        "[store(spark.range(3), p) for p in paths]\n"
+        "import os; assert all(map(os.path.isdir, paths))\n"
+        "drop_shared(spark); assert not any(map(os.path.isdir, paths))\n"
+        "store(spark.range(3), shared_folder(spark, 'y'))\n"
+        "spark.stop()\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=Path(__file__).resolve().parent.parent)
+    assert list((tmp_path / "strataflow").iterdir()) == []
+
+
 def test_shared_folder_uses_the_session_setting(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -15,6 +15,10 @@ OPTIONAL_NUMBERS: dict[str, tuple[str, ...]] = {
         "hours_created_to_approved", "hours_docs_to_review", "hours_review_to_approval",
         "hours_to_docs_upload", "processing_days_actual",
     ),
+    "application_funnel_bucketed": (
+        "hours_created_to_approved", "hours_docs_to_review", "hours_review_to_approval",
+        "hours_to_docs_upload", "processing_days_actual",
+    ),
     "user_cohorts": ("age", "days_to_first_application"),
     "operational_metrics": (
         "fast_resolutions", "fast_verifications", "high_priority_open", "immediate_resolutions",

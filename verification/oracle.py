@@ -812,6 +812,7 @@ SELECT CASE WHEN n = 0 THEN 'No payment record' WHEN ok = 0 THEN 'Failed payment
     "abandoned_carts": _dates("gold_carts", "application_date", "travel_date", money=("potential_revenue",)),
     "document_friction": "SELECT * FROM gold_friction",
     "ticket_impact": _dates("gold_tickets", "application_date"),
+    "application_funnel_bucketed": _dates("gold_funnel", "application_date", "travel_date", "completed_date", "application_date_str"),
     "funnel_overview": f"""
 SELECT count(*) AS total_applications, count(DISTINCT user_id) AS unique_users, count(DISTINCT country_id) AS countries_covered,
        {n_if('has_payment')} AS apps_with_payment, {n_if('NOT has_payment')} AS apps_without_payment,

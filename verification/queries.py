@@ -606,6 +606,16 @@ for _name, _table in (
     query(_name)(lambda l, table=_table: l.plan(table))
 
 
+@query("application_funnel_bucketed")
+def _(l: Lakehouse) -> DataFrame:
+    """The funnel over a stored table bucketed by its key: applications are joined where they lie."""
+    with own_schema(l) as schema:
+        buckets = int(l.spark.conf.get("spark.sql.shuffle.partitions"))
+        catalog.build_silver("applications", l.silver("applications"), schema=schema, bucket_by=(buckets, "application_id"))
+        apps = l.spark.table(f"{schema}.silver_applications")
+        return _kept(gold.application_funnel(apps, l.silver("application_events"), l.silver("payments")))
+
+
 @query("funnel_overview")
 def _(l: Lakehouse) -> DataFrame:
     return gold.funnel_overview(l.gold("application_funnel"))
