@@ -8,15 +8,18 @@ and blocks inside the article element start as content, whatever their length.
 only tells its layout (``has-sidebar``), is beside the article only if it holds neither an article nor content; an
 article inside any wrapper starts afresh, and where the wrapper is a named part it counts if no other does.
 
-Pages stream through Arrow batches in place; a page is held by one task, one at a time.
+Tags are cut by a tokenizer of its own, and what stands around a block is kept up to date as elements open and close, so a
+page of any shape takes time in proportion to its length.  Pages stream through Arrow batches in place; a page is held
+by one task, one at a time.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +37,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements whose text is never shown as text of the article.
 UNSEEN = frozenset(
-    "script style noscript template head title svg math iframe object audio video canvas select option "
+    "script style noscript template head title svg annotation annotation-xml iframe object audio video canvas select option "
     "textarea button datalist".split()
 )
 # Elements and words in class, id or role that mark parts of a page beside its article.
@@ -46,6 +49,14 @@ BESIDE_WORDS = re.compile(
     r"pagination|pager|masthead|complementary|contentinfo|search)(?:$|[\s_-])",
     re.I,
 )
+# Elements whose class, id or role says what a part of the page is; those of headings, paragraphs and words do not.
+CONTAINERS = frozenset("div section ul ol dl aside table center details fieldset nav header footer article main".split())
+# Inside an article only these words count as a part of a name (others must be the whole name).
+CLEAR_WORDS = re.compile(
+    r"(?:^|[_-])(?:adverts?|advertisement|sponsor(?:ed)?|promo|nav|navbar|navigation|breadcrumbs?|sidebar|side-bar|footer|comments?|"
+    r"comment-list|disqus|cookies?|consent|newsletter|popup|modal|widget|toolbar|pagination|pager|masthead)(?:$|[_-])",
+    re.I,
+)
 # With one of these words, or with a listed word after the first, a name tells how a wrapper is laid out.
 LAYOUT_WORDS = frozenset("layout page template enabled active open".split())
 MAIN = frozenset("article main".split())
@@ -82,19 +93,56 @@ _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 
 
-@dataclass(eq=False)
 class Mark:
-    """An element that looks like a part beside the article."""
-
-    kind: str  # element: aside by its tag; named: by a name of its own; hint: a form, or a wrapper's layout
-    holds: bool = False  # an article or content after all
-
-
-def named_beside(names: str) -> str:
-    """named, hint or nothing, by the words of class, id and role."""
+    """An element that looks like a part beside the article, and the one around it within the same article."""
+
+    __slots__ = ("kind", "around", "holds", "only_hints", "only_named", "under_element", "under_named", "told", "_unheld")
+
+    def __init__(self, kind: str, around: Mark | None) -> None:
+        self.kind = kind  # element: aside by its tag; named: by a name of its own; hint: a form, or a wrapper's layout
+        self.around = around
+        self.holds = False  # an article or content after all
+        self.only_hints = kind == "hint" and (around is None or around.only_hints)
+        self.only_named = kind in ("hint", "named") and (around is None or around.only_named)
+        self.under_element = kind == "element" or (around is not None and around.under_element)
+        self.under_named = kind == "named" or (around is not None and around.under_named)
+        self.told = False  # that all hints from here outwards hold an article
+        self._unheld: Mark | None = self
+
+    def unheld(self) -> Mark | None:
+        """The nearest mark from here outwards that holds nothing; what lies between is skipped the next time."""
+        passed, mark = [], self
+        while mark is not None and mark.holds:
+            passed.append(mark)
+            mark = mark._unheld if mark._unheld is not mark else mark.around
+        for p in passed:
+            p._unheld = mark
+        return mark
+
+    def hold_all(self) -> None:
+        """All marks from here outwards hold content."""
+        mark = self.unheld()
+        while mark is not None:
+            mark.holds = True
+            mark = mark.unheld()
+
+    def tell_hints(self) -> None:
+        """All hints from here outwards hold an article."""
+        mark: Mark | None = self
+        while mark is not None and not mark.told:
+            mark.told = True
+            mark.holds |= mark.kind == "hint"
+            mark = mark.around
+
+
+def named_beside(names: str, inside: bool = False) -> str:
+    """named, hint or nothing, by the words of class, id and role.  Inside an article a name counts if it is a listed word as
+    a whole, or has one that means nothing else."""
     found = ""
     for name in names.split():
         hit = BESIDE_WORDS.search(name)
+        if hit and inside and hit.span() != (0, len(name)):
+            hit = CLEAR_WORDS.search(name)
         if hit and hit.start() == 0 and LAYOUT_WORDS.isdisjoint(re.split("[_-]", name.lower())):
             return "named"
         found = "hint" if hit else found
@@ -108,138 +156,231 @@ class Block:
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     inside: bool = False  # of the article
-    marks: tuple[Mark, ...] = ()  # open around it, opened within its innermost article
+    mark: Mark | None = None  # the innermost one around it, opened within its innermost article
     second: bool = False  # in an article inside a part that is named as beside
     heading: bool = False
+    _text: str | None = None
 
     @property
     def beside(self) -> bool:
         """In a part that is not the article."""
-        return any(not m.holds for m in self.marks)
+        return self.mark is not None and self.mark.unheld() is not None
 
     def text(self) -> str:
-        return _SPACE.sub(" ", "".join(self.parts)).strip()
-
-
-class _Blocks(HTMLParser):
+        if self._text is None:
+            self._text = _SPACE.sub(" ", "".join(self.parts)).strip()
+        return self._text
+
+
+_TAG = re.compile(r"</?[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*(?:([^\s/>=][^\s/>=]*)(\s*=\s*)?|(=))")
+_VALUE = re.compile(r"[^\s>]*")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in ("script", "style")}
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, Mapping[str, str]]]:
+    """(kind, text or tag, attributes) of a page: data, start, empty (a tag that ends itself), end.
+
+    Comments, declarations and processing instructions are passed over; an unclosed one ends at the next ``>``, as does a
+    tag with an unclosed quote.  A ``<`` that begins nothing is text.  Every character is looked at a bounded number of times."""
+    at, n = 0, len(html)
+    last, last_comment = html.rfind(">"), html.rfind("-->")
+    quotes = {q: html.rfind(q) for q in "\"'"}
+    simple = False  # a tag ran to the end of the page: from there on tags end at the next >
+    while at < n:
+        begin = html.find("<", at)
+        if begin < 0 or begin > last:
+            end = html.find("<!--", at)  # a page that ends within a comment
+            yield "data", unescape(html[at:] if end < 0 else html[at:end]), {}
+            return
+        mark = html[begin + 1 : begin + 2]
+        tag = _TAG.match(html, begin) if mark.isalpha() or mark == "/" else None
+        if tag is None and mark not in ("!", "?", "/"):
+            end = html.find("<", begin + 1)
+            end = n if end < 0 else end
+            yield "data", unescape(html[at:end]), {}
+            at = end
+            continue
+        if begin > at:
+            yield "data", unescape(html[at:begin]), {}
+        if tag is None:
+            if html.startswith("<!-->", begin) or html.startswith("<!--->", begin):
+                at = html.index(">", begin) + 1
+            elif html.startswith("<!--", begin) and begin + 4 <= last_comment:
+                at = html.index("-->", begin + 4) + 3
+            else:
+                at = html.index(">", begin) + 1
+            continue
+        name, end = tag[0].lstrip("</").lower(), tag.end()
+        attributes: dict[str, str] = {}
+        if simple:
+            end = html.index(">", end)
+        else:
+            while end < n:
+                found = _ATTRIBUTE.match(html, end)
+                if found is None:
+                    break
+                end = found.end()
+                if found[2]:
+                    quote = html[end : end + 1]
+                    if quotes.get(quote, -1) > end:
+                        stop = html.index(quote, end + 1)
+                        value, end = html[end + 1 : stop], stop + 1
+                    else:
+                        value = _VALUE.match(html, end)[0]
+                        end += len(value)
+                    attributes.setdefault(found[1].lower(), value)
+                elif found[1]:
+                    attributes.setdefault(found[1].lower(), "")
+            spaces = re.compile(r"[\s/]*").match(html, end)
+            end = spaces.end()
+            if end >= n:
+                simple = True
+                end = html.index(">", tag.end())
+        closed = html[end - 1] == "/"
+        at = end + 1
+        if tag[0][1] == "/":
+            yield "end", name, {}
+            continue
+        yield "empty" if closed else "start", name, attributes
+        if name in _RAW_END and not closed:
+            stop = _RAW_END[name].search(html, at)
+            at = stop.start() if stop else n
+
+
+class _Open:
+    """An open element: its tag, what it means, its mark, and how many block-level elements were open before it."""
+
+    __slots__ = ("tag", "meaning", "mark", "blocks_before", "inner", "alive")
+
+    def __init__(self, tag: str, meaning: str, mark: Mark | None, blocks_before: int, inner: Mark | None) -> None:
+        self.tag, self.meaning, self.mark, self.blocks_before, self.inner, self.alive = tag, meaning, mark, blocks_before, inner, True
+
+
+class _Blocks:
     """Cuts a page into blocks; tolerant of missing end tags."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, str, Mark | None]] = []  # (tag, what it means: unseen, beside, main, fresh or nothing)
-        self.unseen = self.main = self.links = 0
+        self.open: list[_Open] = []
+        self.of_tag: dict[str, list[_Open]] = {}
+        self.count: Counter[str] = Counter()  # open elements by what they mean
+        self.open_blocks = 0
+        self.inner: Mark | None = None  # the innermost mark within the innermost article
         self.block = Block()
 
-    def _meaning(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    def _meaning(self, tag: str, attrs: Mapping[str, str]) -> str:
         if tag in UNSEEN:
             return "unseen"
         if not attrs and tag not in BESIDE and tag not in MAIN and tag != "header":
             return ""
-        values = {k: v or "" for k, v in attrs}
-        if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", ""), re.I):
+        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
             return "unseen"
-        named = " ".join(values.get(k, "") for k in ("class", "id", "role"))
+        named = unescape(" ".join(attrs.get(k, "") for k in ("class", "id", "role"))) if tag in CONTAINERS else ""
         if tag == "form":
             return "hint"
-        if tag in BESIDE or (tag == "header" and not self.main):
+        inside = self.count["main"] + self.count["fresh"] > 0
+        if tag in BESIDE or (tag == "header" and not inside):
             return "element"
-        kind = named_beside(named)
+        kind = named_beside(named, inside)
         if tag in MAIN:
-            around = [m.kind for m in self._marks()]
             # a comment or a teaser among others is an article element too: its own name tells
-            return "main" if "element" in around or ("named" in around and kind == "named") else "fresh"
-        if tag not in ("body", "html") and kind:
+            inner = self.inner
+            return "main" if inner and (inner.under_element or (inner.under_named and kind == "named")) else "fresh"
+        if kind:
             return kind
         if named.strip() and MAIN_WORDS.search(named):
             return "main"
         return ""
 
-    def _marks(self) -> tuple[Mark, ...]:
-        """The marks that were opened within the innermost article."""
-        out: list[Mark] = []
-        for _, meaning, mark in reversed(self.open):
-            if meaning == "fresh":
-                break
-            if mark:
-                out.append(mark)
-        return tuple(out)
-
-    def _count(self, meaning: str, step: int) -> None:
-        if meaning == "unseen":
-            self.unseen += step
-        elif meaning in ("main", "fresh"):
-            self.main += step
-
     def _cut(self, heading: bool = False) -> None:
         if self.block.parts:
             self.blocks.append(self.block)
         self.block = Block(heading=heading)
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def start(self, tag: str, attrs: Mapping[str, str]) -> None:
         if tag == "br":
             if self.block.parts:
                 self.block.parts.append(" ")
             return
         for other in CLOSES.get(tag, ()):
-            if self.open and self.open[-1][0] == other:
-                self.handle_endtag(other)
+            if self.open and self.open[-1].tag == other:
+                self.end(other)
         if tag in BLOCKS:
-            if tag != "title" and self.unseen and any(x[0] == "head" for x in self.open):
-                self.handle_endtag("head")  # its end tag may be left out
-            if self.open and self.open[-1][0] == "p":  # a block-level tag ends a paragraph
-                self.handle_endtag("p")
+            if tag != "title" and self.of_tag.get("head"):
+                self.end("head")  # its end tag may be left out
+            if self.open and self.open[-1].tag == "p":  # a block-level tag ends a paragraph
+                self.end("p")
             self._cut(tag[0] == "h" and tag[1:].isdigit())
         if tag in VOID:
             return
         meaning = self._meaning(tag, attrs)
+        outer, mark = self.inner, None
         if meaning == "fresh":
-            for mark in self._marks():
-                mark.holds |= mark.kind == "hint"
-        self.open.append((tag, meaning, Mark(meaning) if meaning in ("element", "named", "hint") else None))
-        self._count(meaning, 1)
-        self.links += tag == "a"
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag != "br" and self.open and self.open[-1][0] == tag and tag in ("svg", "math"):
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
+            if self.inner:
+                self.inner.tell_hints()
+            self.inner = None
+        elif meaning in ("element", "named", "hint"):
+            self.inner = mark = Mark(meaning, self.inner)
+        entry = _Open(tag, meaning, mark, self.open_blocks, outer)
+        self.open.append(entry)
+        self.of_tag.setdefault(tag, []).append(entry)
+        self.open_blocks += tag in BLOCKS
+        self.count[meaning] += 1
+        self.count["a"] += tag == "a"
+
+    def _close(self, entry: _Open) -> None:
+        self.of_tag[entry.tag].pop()
+        self.open_blocks -= entry.tag in BLOCKS
+        self.count[entry.meaning] -= 1
+        self.count["a"] -= entry.tag == "a"
+        entry.alive = False
+
+    def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self._cut()
-        depth = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
-        if depth is None:
+        if not self.of_tag.get(tag):
             return
-        if tag not in BLOCKS and any(x[0] in BLOCKS for x in self.open[depth + 1 :]):
-            # an inline element left open around blocks: only it goes
-            gone = [self.open.pop(depth)]
-        else:
-            gone = self.open[depth:]
-            del self.open[depth:]
-        for name, meaning, _ in gone:
-            self._count(meaning, -1)
-            self.links -= name == "a"
-
-    def handle_data(self, data: str) -> None:
-        if self.unseen or not data:
+        entry = self.of_tag[tag][-1]
+        if tag not in BLOCKS and self.open_blocks > entry.blocks_before:
+            self._close(entry)  # an inline element left open around blocks: only it goes
+            return
+        while True:
+            last = self.open.pop()
+            if last.alive:
+                self._close(last)
+                self.inner = last.inner
+            if last is entry:
+                break
+        while self.open and not self.open[-1].alive:
+            self.open.pop()
+
+    def data(self, text: str) -> None:
+        if self.count["unseen"] > 0 or not text:
             return
         block = self.block
         if not block.parts:
-            block.inside, block.marks = self.main > 0, self._marks()
-            block.second = any(mark and mark.kind == "named" for *_, mark in self.open)
-        block.parts.append(data)
-        if self.links:
-            block.link_chars += len(data.strip())
+            block.inside = self.count["main"] + self.count["fresh"] > 0
+            block.mark, block.second = self.inner, self.count["named"] > 0
+        block.parts.append(text)
+        if self.count["a"] > 0:
+            block.link_chars += len(text.strip())
 
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page that have text."""
-    parser = _Blocks()
-    parser.feed(html)
-    parser.close()
-    parser._cut()
-    return [b for b in parser.blocks if b.text()]
+    page = _Blocks()
+    for kind, what, attributes in tokens(html):
+        if kind == "data":
+            page.data(what)
+        elif kind == "end":
+            page.end(what)
+        else:
+            page.start(what, attributes)
+            if kind == "empty" and what == "svg":
+                page.end(what)
+    page._cut()
+    return [b for b in page.blocks if b.text()]
 
 
 def first_pass(block: Block) -> str:
@@ -271,21 +412,6 @@ def text_label(block: Block) -> str:
     return "open" if stops >= STOP_LOW or len(text) > LENGTH_LONG else "boilerplate"
 
 
-def second_pass(labels: list[str]) -> list[str]:
-    """The strict rule: open blocks are content between content only.  Pages go through ``settled``."""
-    before, after = [], []
-    last = "boilerplate"
-    for label in labels:
-        last = last if label == "open" else label
-        before.append(last)
-    last = "boilerplate"
-    for label in reversed(labels):
-        last = last if label == "open" else label
-        after.append(last)
-    after.reverse()
-    return [b if b == a else "boilerplate" for b, a in zip(before, after)]
-
-
 def settled(blocks: list[Block], labels: list[str]) -> list[str]:
     """Open blocks take the label of the nearest decided neighbour, counted in blocks; content on a tie.
 
@@ -324,11 +450,10 @@ def _without_stop_words(blocks: list[Block], labels: list[str]) -> list[str]:
 
 def _clear_marks(blocks: list[Block]) -> None:
     """Wrappers that hold content are not beside: forms and layouts always, named parts where nothing else is left."""
-    for kinds in (("hint",), ("hint", "named")):
+    for kinds in ("only_hints", "only_named"):
         for b in blocks:
-            if b.beside and all(m.kind in kinds for m in b.marks) and text_label(b) == "content":
-                for m in b.marks:
-                    m.holds = True
+            if b.beside and getattr(b.mark, kinds) and text_label(b) == "content":
+                b.mark.hold_all()
         if any(not b.beside and (b.inside or text_label(b) == "content") for b in blocks):
             break
 
@@ -352,8 +477,10 @@ def main_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    """``pages`` without the html and with its main text; repeated rows and null ids are rows of their own."""
-    kept = [c for c in pages.columns if c != html]
+    """``pages`` without the html and with its main text; repeated rows and null ids are rows of their own.
+
+    A column that already has the name of the main text gives way to it."""
+    kept = [c for c in pages.columns if c != html and c.lower() != text.lower()]
     chosen = pages.select(*[col(c) for c in kept], col(html))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,5 +488,5 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
             texts = pa.array([main_text(h.as_py()) for h in batch.column(len(kept))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], texts], names=[*kept, text])
 
-    fields = [f for f in chosen.schema.fields if f.name != html]
+    fields = [f for f in chosen.schema.fields if f.name in kept]
     return chosen.mapInArrow(run, T.StructType([*fields, T.StructField(text, T.StringType())]))

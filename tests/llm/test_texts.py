@@ -311,7 +311,6 @@ def test_pages_without_article_are_judged_by_their_text():
     prose = "It was the best of times, it was the worst of times, and all of it is in the book that was on the table. " * 3
     page = f"<div><a href=1>one</a> <a href=2>two</a></div><div>{prose}</div><div>Short.</div><div>{prose}</div><div>Imprint</div>"
     assert html_text.main_text(page) == "\n".join([prose.strip(), "Short.", prose.strip()])
-    assert html_text.second_pass(["open", "content", "open", "boilerplate", "open"]) == ["boilerplate", "content", "boilerplate", "boilerplate", "boilerplate"]
 
 
 PROSE = "It was the best of times, it was the worst of times, and all of it is in the book that was on the table. " * 3
