@@ -28,6 +28,8 @@ from strataflow.llm.words import chunks, mix
 
 #: Labelled rows per language that the text model is fitted on, and characters of them in total.
 SAMPLE = 2_000
+#: Least share of the labelled rows that makes a label a language: there are at most 1 / LEAST_SHARE of them, whatever the column holds.
+LEAST_SHARE = 1 / 256
 BUCKETS = 1 << 15
 #: The text's log likelihood counts at most as that of so many trigrams: neighbours are not independent.
 TRUST = 60.0
@@ -73,20 +75,23 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> Model:
     """The text model from at most ``sample`` labelled rows of each language (those of smallest hash).
 
-    Rows without label or text are passed over.  Only trigram counts reach the driver: languages times
-    ``BUCKETS`` at most."""
+    Rows without label or text are passed over, and labels with less than ``LEAST_SHARE`` of the labelled rows are no
+    languages.  Only trigram counts reach the driver: languages times ``BUCKETS`` at most."""
     labelled = docs.where(col(label).isNotNull() & (F.length(col(text)) > 0)).select(
         col(label).cast("string").alias("label"), col(text).alias("text")
     )
     # the limit on the hash that leaves about the sample; one row per label comes to the driver
     rank = F.xxhash64("text", "label")
-    sizes = labelled.groupBy("label").agg(F.count("*").alias("size"), F.min(rank).alias("lo"), F.max(rank).alias("hi")).collect()
+    counted = labelled.groupBy("label").agg(F.count("*").alias("size"), F.min(rank).alias("lo"), F.max(rank).alias("hi"))
+    counted = keep(counted, "labels")
+    least = (counted.agg(F.sum("size")).first()[0] or 0) * LEAST_SHARE
+    sizes = counted.where(F.col("size") >= least).collect()
     limits = {r["label"]: r["lo"] + (r["hi"] - r["lo"]) * min(sample, r["size"]) // r["size"] for r in sizes}
     if not limits:
         return Model([], np.zeros((0, BUCKETS)))
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("label"))
     # copies share a hash: only one of them counts
-    chosen = labelled.where(rank <= limit).select("label", "text").dropDuplicates()
+    chosen = labelled.where(F.col("label").isin(*limits)).where(rank <= limit).select("label", "text").dropDuplicates()
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -115,8 +120,8 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int =
     return Model(names, np.log(share) - np.log(1.0 / seen) if names else counts)
 
 
-def text_scores(docs: DataFrame, model: Model, text: str, name: str) -> DataFrame:
-    """``docs`` with column ``name``: gains (one per language), letters (number of trigrams)."""
+def text_scores(docs: DataFrame, model: Model, text: str, name: str, keep_text: bool = True) -> DataFrame:
+    """``docs`` with column ``name``: gains (one per language), letters (number of trigrams); on request without the text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers
     place = docs.columns.index(text)
     kind = pa.struct([("gains", pa.list_(pa.float64())), ("letters", pa.int64())])
@@ -135,10 +140,12 @@ def text_scores(docs: DataFrame, model: Model, text: str, name: str) -> DataFram
                 pa.array(np.arange(len(total) + 1) * total.shape[1], pa.int32()), pa.array(total.reshape(-1))
             )
             counts = pa.array(np.concatenate(letters) if letters else np.zeros(0, np.int64), pa.int64())
-            yield batch.append_column(name, pa.StructArray.from_arrays([lists, counts], fields=list(kind)))
+            scored = batch.append_column(name, pa.StructArray.from_arrays([lists, counts], fields=list(kind)))
+            yield scored if keep_text else scored.select([c for k, c in enumerate(scored.schema.names) if k != place])
 
     out = T.StructType([T.StructField("gains", T.ArrayType(T.DoubleType())), T.StructField("letters", T.LongType())])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, out)]))
+    fields = [f for k, f in enumerate(docs.schema.fields) if keep_text or k != place]
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(name, out)]))
 
 
 def host_of(url: Column) -> Column:
@@ -190,12 +197,16 @@ def identify(
     declared: str | None = None,
     host: str | None = None,
     suffix: str | None = None,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` with a struct ``language``: best, posterior, letters, accepted.
 
+    Texts are scored twice, for the counts and for the verdict, so that they are never stored; with ``keep_text=False`` the
+    result is without them, and they are scored once.
+
     ``declared``, ``host`` and ``suffix`` name columns with the declared language, the host (or source)
     and the suffix's language; a missing column or a null is no evidence.  Null and empty texts have no
-    letters and are rejected.  Repeated rows are judged alike.  ``language`` must not be a column yet.
+    letters and are rejected.  Repeated rows are judged alike.  A column ``language`` gives way to the new one.
     """
     n = len(model.languages)
     score, h, p, d, x = (fresh(docs, name) for name in ("score", "host", "parent", "declared", "suffix"))
@@ -208,12 +219,15 @@ def identify(
         }
     ).withColumn(p, F.coalesce(parent_of(F.col(h)), F.lit("")))
     # counts need no texts, so only the scores' own columns go to the shuffle
-    scored = text_scores(named, model, text, score)
+    scored = text_scores(named, model, text, score, keep_text)
+    own = [c for c in docs.columns if c.lower() != "language" and (keep_text or c != text)]
+    if not keep_text:
+        scored = keep(scored, "scores")
     if not n:
         empty = F.struct(
             none.alias("best"), F.lit(0.0).alias("posterior"), F.col(f"{score}.letters").alias("letters"), F.lit(False).alias("accepted")
         )
-        return scored.withColumn("language", empty).drop(score, h, p, d, x)
+        return scored.withColumn("language", empty).select(*[col(c) for c in own], "language")
 
     soft = _soft(_tempered(F.col(score)))
     voting = scored.where(F.col(f"{score}.letters") > 0).withColumn(score, soft)
@@ -237,7 +251,8 @@ def identify(
         letters.alias("letters"),
         ((letters > 0) & reads & (F.array_max(posterior) >= SURE)).alias("accepted"),
     )
-    return joined.withColumn("language", verdict).select(*[col(c) for c in docs.columns], "language")
+    verdict_name = fresh(docs, "verdict")
+    return joined.withColumn(verdict_name, verdict).select(*[col(c) for c in own], F.col(verdict_name).alias("language"))
 
 
 def _overall(groups: DataFrame, n: int) -> list[float]:

@@ -82,9 +82,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_text.extract(pages).withColumn("suffix", language.suffix_of(F.col("host")))
     none = F.lit(None).cast("long")
     return _judged(
-        language.identify(docs, model, declared="lang", host="source"), "document", F.col("doc_id"), none
+        language.identify(docs, model, declared="lang", host="source", keep_text=False), "document", F.col("doc_id"), none
     ).unionByName(
-        _judged(language.identify(pages, model, declared="lang", host="host", suffix="suffix"), "page", none, F.col("page_id"))
+        _judged(language.identify(pages, model, declared="lang", host="host", suffix="suffix", keep_text=False), "page", none, F.col("page_id"))
     )
 
 
