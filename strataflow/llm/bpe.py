@@ -10,8 +10,8 @@ of them alone, and remembered.
 The trie is held as its sorted words, whose order is the depth-first order; the walk needs only the
 path from the root.
 
-Scale: documents stream through Arrow batches in place, nothing is shuffled.  A worker keeps the
-encodings of the words it has met and forgets them at a bound: that limits memory, not results.
+Scale: documents stream through Arrow batches in place, nothing is shuffled.  A task keeps the
+encodings of the words it has met lately and forgets the older ones at a bound: that limits memory, not results.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import json
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 from hashlib import sha256
 from typing import NamedTuple
 
@@ -32,9 +33,9 @@ from pyspark.sql import DataFrame
 from strataflow.llm.common import col
 
 END = "</w>"
-#: Letters of known words after which a worker forgets them (about 20 bytes each), and pairs likewise.
+#: Letters of known words (about 20 bytes each), and pairs of tokens, that a task remembers at most.
 MAX_LETTERS = 3_000_000
-MAX_PAIRS = 150_000
+MAX_PAIRS = 300_000
 NEVER = 1 << 30
 
 
@@ -71,22 +72,86 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+class Recent:
+    """A mapping of two generations: when the young one is full it becomes the old one, and what was old is forgotten."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.young[key] = found
+        return found
+
+    def age(self) -> None:
+        self.old, self.young = self.young, {}
+
+
+# Letters and numbers that Unicode 16.0 assigned; the tokenizer knows them, and none of later versions.
+UNICODE_16 = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E "
+    "11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA 16100-1611D "
+    "16130-16139 16D40-16D6C 16D70-16D79 18CFF-18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA"
+)
+# Capital letters of Unicode 16.0 and 17.0 and their small letters (first and last capital, first small).
+CAPITALS = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3),
+    (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+)
+SMALL = {c: c - first + small for first, last, small in CAPITALS for c in range(first, last + 1)}
+_NEW_CAPITAL = regex.compile("[" + "".join(f"{chr(first)}-{chr(last)}" for first, last, _ in CAPITALS) + "]")
+
+
+@cache
+def late_characters() -> str:
+    """Ranges of the characters that the pattern's library counts as letters or numbers, but that Unicode had not assigned
+    in the version that the tokenizer knows: to it they are other characters."""
+    known = regex.compile(r"[\p{L}\p{N}]")
+    own = [range(int(a, 16), int(b, 16) + 1) for a, b in (part.split("-") for part in UNICODE_16.split())]
+    late = [
+        c for c in range(0x80, 0x110000)
+        if not 0xD800 <= c < 0xE000 and known.match(chr(c)) and unicodedata.category(chr(c)) == "Cn" and not any(c in r for r in own)
+    ]
+    ranges: list[list[int]] = []
+    for c in late:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
 class Encoder:
     """Encodes words by walking the trie of the words not met before."""
 
     def __init__(self, vocabulary: Vocabulary, max_letters: int = MAX_LETTERS) -> None:
         self.ids, self.ranks, self.special = vocabulary.ids, vocabulary.ranks, vocabulary.special
+        self.next: dict[str, dict[str, int]] = {}
+        for (a, b), rank in self.ranks.items():
+            self.next.setdefault(a, {})[b] = rank
         self.longest = max(len(t.removesuffix(END)) for t in self.ids)
         self.symbols = dict(enumerate(byte_symbols()))
         self.word = regex.compile(vocabulary.pattern)
+        late = late_characters()
+        self.late = regex.compile(f"[{late}]") if late else None
+        exact = vocabulary.pattern
+        for name in (r"\p{L}", r"\p{N}"):
+            exact = exact.replace(name, f"[{name}--[{late}]]")
+        self.word_exact = regex.compile(exact, regex.V1) if late else self.word
         self.marks = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
         self.max_letters = max_letters
         self.whole: dict[str, bool] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs = Recent()
         self.edges: tuple[dict, dict] = ({}, {})
-        self.known: dict[str, bytes] = {s: _packed([n]) for s, n in self.special.items()}
+        #: Of each word its packed ids, and the strings of its tokens as the decoder shows them.
+        self.known = Recent()
+        self.marked = {s: (_packed([n]), s.encode()) for s, n in self.special.items()}
         self.letters_known = 0
 
     # -- which tokens may end a prefix ------------------------------------------------------------
@@ -139,27 +204,38 @@ class Encoder:
         that meet at the border is merged while both are there.  Of equal ranks the leftmost goes first."""
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = not any(
-                time < used_x and time <= used_y
-                for x, made_x, used_x in self._edge(left, 1)
-                for y, made_y, used_y in self._edge(right, 0)
-                if (time := max(self.ranks.get((x, y), NEVER), made_x, made_y)) < NEVER
-            )
+            if len(self.pairs.young) >= MAX_PAIRS // 2:
+                self.pairs.age()
+            found = self.pairs.young[left, right] = self._stands(self._edge(left, 1), self._edge(right, 0))
         return found
 
+    def _stands(self, lefts: list[tuple[str, int, int]], rights: list[tuple[str, int, int]]) -> bool:
+        for x, made_x, used_x in lefts:
+            after = self.next.get(x)
+            if after:
+                for y, made_y, used_y in rights:
+                    rank = after.get(y)
+                    if rank is not None:
+                        time = max(rank, made_x, made_y)
+                        if time < used_x and time <= used_y:
+                            return False
+        return True
+
     # -- the walk -----------------------------------------------------------------------------------
 
     def _last(self, word: str, depth: int, path: list[str | None], end: str = "") -> str:
         """The last token of the first ``depth`` symbols of ``word``; ``path`` has those of shorter prefixes."""
-        ids = self.ids
+        whole, pairs = self.whole, self.pairs.young
         for start in range(max(0, depth - self.longest), depth):
             token = word[start:depth] + end
-            if token in ids and self.is_token(token):
+            good = whole.get(token)
+            if good is None and token in self.ids:
+                good = self.is_token(token)
+            if good:
                 before = path[start]
-                if before is None or self.may_follow(before, token):
-                    return token  # the encoding is unique: no other token fits
+                # the encoding is unique: no other token fits
+                if before is None or pairs.get((before, token)) or self.may_follow(before, token):
+                    return token
         raise ValueError(f"no token ends {word[:depth]!r}")
 
     def learn(self, words: Iterable[str]) -> None:
@@ -168,10 +244,12 @@ class Encoder:
         Sorted words are the trie in depth-first order: ``path`` holds the last tokens on the way from
         the root, and what a word shares with the one before is still on it.
         """
-        if self.letters_known >= self.max_letters:
-            self.known = {s: _packed([n]) for s, n in self.special.items()}
+        if self.letters_known >= self.max_letters // 2:
+            self.known.age()
             self.letters_known = 0
-        plain = [(w.encode().decode("latin-1").translate(self.symbols), w) for w in words if w not in self.known]
+        self.known.young |= self.marked
+        known = self.known.get
+        plain = [(w.encode().decode("latin-1").translate(self.symbols), w) for w in words if known(w) is None]
         plain.sort()
         path: list[str | None] = [None]
         before = ""
@@ -185,12 +263,13 @@ class Encoder:
                 path.append(self._last(word, depth, path))
             before = word
             token: str | None = self._last(word, n, path, END)
-            out, at = [], n
+            tokens, at = [], n
             while token is not None:
-                out.append(self.ids[token])
+                tokens.append(token)
                 at -= len(token.removesuffix(END)) if at == n else len(token)
                 token = path[at]
-            self.known[original] = _packed(out[::-1])
+            tokens.reverse()
+            self.known.young[original] = _packed([self.ids[t] for t in tokens]), " ".join(tokens).encode()
             self.letters_known += n
 
     # -- texts ------------------------------------------------------------------------------------
@@ -198,22 +277,37 @@ class Encoder:
     @staticmethod
     def normalise(text: str) -> str:
         """NFC, then lower case letter by letter.  White space only separates words, so it stays."""
-        return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        if not text.isascii() and _NEW_CAPITAL.search(text):
+            text = text.translate(SMALL)
+        return text.lower()
 
     def words_of(self, text: str) -> list[str]:
         """The words of a text; special strings are words as they are."""
         if not any(s in text for s in self.special):
-            return self.word.findall(self.normalise(text))
+            return self._plain_words(text)
         out: list[str] = []
         for piece in self.marks.split(text):
-            out += [piece] if piece in self.special else self.word.findall(self.normalise(piece))
+            out += [piece] if piece in self.special else self._plain_words(piece)
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
+    def _plain_words(self, text: str) -> list[str]:
+        plain = self.normalise(text)
+        pattern = self.word if plain.isascii() or self.late is None or not self.late.search(plain) else self.word_exact
+        return pattern.findall(plain)
+
+    def encode_both(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Of each text the packed token ids, and the decoded text in UTF-8."""
         split = [self.words_of(t) for t in texts]
         self.learn(set().union(*split))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), "<u4") for ws in split]
+        known = self.known.young
+        for words in split:
+            found = [known[w] for w in words]
+            yield b"".join([ids for ids, _ in found]), b" ".join([shown for _, shown in found])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of each text."""
+        return [np.frombuffer(ids, "<u4") for ids, _ in self.encode_both(texts)]
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -234,17 +328,6 @@ class Decoder:
         return " ".join(self.tokens[ids])
 
 
-_WORKER: dict[str, tuple[Encoder, Decoder]] = {}
-
-
-def _of_worker(path: str, vocabulary: Vocabulary) -> tuple[Encoder, Decoder]:
-    """The worker's encoder for a tokenizer file; it keeps what it has learnt from task to task."""
-    if path not in _WORKER:
-        _WORKER.clear()
-        _WORKER[path] = Encoder(vocabulary), Decoder(vocabulary)
-    return _WORKER[path]
-
-
 #: Bytes of text encoded at once; bounds the words in memory.
 STEP = 1 << 20
 
@@ -255,26 +338,27 @@ def encode_documents(
     """``docs`` with a column ``ids`` (array of token ids) and, if named, ``decoded`` (their text).
 
     Null and empty texts have no tokens and decode to an empty text; repeated rows are rows of their
-    own.  ``path`` is the tokenizer file, read once on the driver and sent to the tasks: a
-    vocabulary of fixed size.
+    own; columns that have the names of new ones give way to them.  ``path`` is the tokenizer file, read once on the driver
+    and sent to the tasks: a vocabulary of fixed size.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-    shared = docs.sparkSession.sparkContext.broadcast((path, load(path)))
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
+    taken = {ids.lower(), (decoded or ids).lower()} - {text.lower()}
+    docs = docs.select(*[col(c) for c in docs.columns if c.lower() not in taken])
     place = docs.columns.index(text)
     fields = [StructField(ids, ArrayType(IntegerType()))]
     if decoded:
         fields.append(StructField(decoded, StringType()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _of_worker(*shared.value)
+        encoder = Encoder(shared.value)  # freed with the task, so that the worker is light for the next stage
         for batch in batches:
             for part in _steps(batch, place):
-                texts = [t or "" for t in part.column(place).to_pylist()]
-                rows = encoder.encode(texts)
-                out = part.append_column(ids, pa.array(rows, pa.list_(pa.int32())))
+                both = list(encoder.encode_both([t or "" for t in part.column(place).to_pylist()]))
+                out = part.append_column(ids, pa.array([np.frombuffer(i, "<u4") for i, _ in both], pa.list_(pa.int32())))
                 if decoded:
-                    out = out.append_column(decoded, pa.array([decoder.decode(r) for r in rows], pa.string()))
+                    out = out.append_column(decoded, pa.array([shown for _, shown in both], pa.binary()).cast(pa.string()))
                 yield out
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
@@ -297,20 +381,18 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens and digests of ids (little-endian 32-bit) and decoded text of every row."""
-    shown = encode_documents(docs.select(col(id_col).cast("long").alias("doc_id"), col(text).alias("text")), path, decoded="decoded")
+    shared = docs.sparkSession.sparkContext.broadcast(load(path))
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
         for batch in batches:
-            lists = batch.column("ids")
-            values, ends = lists.flatten().to_numpy().astype("<u4"), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(ends), pa.int64()),
-                    pa.array([sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])], pa.string()),
-                    pa.array([sha256(t.as_py().encode()).hexdigest() for t in batch.column("decoded")], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return shown.select("doc_id", "ids", "decoded").mapInArrow(digest, DIGESTS)
+            for part in _steps(batch, 1):
+                both = encoder.encode_both([t or "" for t in part.column(1).to_pylist()])
+                rows = [(len(ids) // 4, sha256(ids).hexdigest(), sha256(shown).hexdigest()) for ids, shown in both]
+                n, ids, shown = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text).alias("text")).mapInArrow(digest, DIGESTS)
