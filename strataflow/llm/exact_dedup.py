@@ -152,13 +152,13 @@ def _grouped(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     )
     # longest first, then the smallest id, then the print and the row number among repeated ids
     order = F.struct(
-        F.col("n_points").alias("l"), (-F.col("doc_id")).alias("i"), F.col("print").alias("p"), (-F.col("_rid")).alias("r")
+        F.col("n_points").alias("l"), F.bitwise_not("doc_id").alias("i"), F.col("print").alias("p"), (-F.col("_rid")).alias("r")
     )
     groups = named.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.max(order).alias("best"))
     joined = named.join(groups, ["level", "name"])
     return joined.select(
         "doc_id",
-        (-F.col("best.i")).alias("keep_id"),
+        F.bitwise_not("best.i").alias("keep_id"),
         "group_size",
         (F.col("_rid") == -F.col("best.r")).alias("kept"),
         "text_sha256",

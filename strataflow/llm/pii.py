@@ -11,7 +11,9 @@ form, identity numbers): those are kept if their score reaches ``THRESHOLD``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -167,16 +169,15 @@ def find_spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
                     added.append(Span(kind, start, end, value))
     if added and base:
         taken = sorted((s.start, s.end) for s in base)
-        added = [s for s in added if not _overlaps(s, taken)]
+        starts, reached = [start for start, _ in taken], list(accumulate((end for _, end in taken), max))
+        added = [s for s in added if not _overlaps(s, starts, reached)]
     return base + added
 
 
-def _overlaps(span: Span, taken: list[tuple[int, int]]) -> bool:
-    from bisect import bisect_left
-
-    # spans of different base kinds may overlap each other, so look at a few before the place as well
-    k = bisect_left(taken, (span.end, 0))
-    return any(end > span.start for _, end in taken[max(0, k - len(BASE)) : k])
+def _overlaps(span: Span, starts: list[int], reached: list[int]) -> bool:
+    """Whether a span meets one of those that begin at ``starts``; ``reached`` is the furthest end so far."""
+    k = bisect_left(starts, span.end)
+    return k > 0 and reached[k - 1] > span.start
 
 
 OUT = "doc_id long, spans array<struct<kind:string,start:int,end:int,score:double>>"

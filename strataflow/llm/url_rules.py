@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import col
+from strataflow.llm.common import col, fresh
 
 #: Hexadecimal digits of the digest that are joined on; the rest is compared afterwards.
 PREFIX = 8
@@ -51,7 +51,7 @@ def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]] = RULE
 def judge_urls(
     pages: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT, prefix: int = PREFIX
 ) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` (must not be columns of it yet).
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict``; columns that already have these names give way.
 
     A rule fits its host and all subdomains if the path starts with the rule's.  The longest rule
     (host and path together) wins; of equally long ones block comes before allow, then the smaller
@@ -102,4 +102,7 @@ def _with_verdict(pages: DataFrame, urls: DataFrame, best: DataFrame | None, url
             "_url", "host", "path", F.col("best.rule").alias("rule"),
             F.coalesce("best.r_verdict", F.lit(default)).alias("verdict"),
         )
-    return pages.join(judged, F.coalesce(col(url), F.lit("")) == F.col("_url"), "left").drop("_url")
+    key = fresh(pages, "judged_url")
+    own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    keyed = pages.select(*[col(c) for c in own], F.coalesce(col(url), F.lit("")).alias(key))
+    return keyed.join(judged.withColumnRenamed("_url", key), key, "left").drop(key)
