@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import col, keep
-from strataflow.llm.near_dedup import _dense, _distinct_windows, components
+from strataflow.llm.near_dedup import _distinct_windows, _shingles, _with_main, components
 from strataflow.llm.words import NOT_SPACE, chunks, find_words, mix
 
 SHINGLE = 5
@@ -42,9 +42,19 @@ PLAIN, DELETIONS, ELEMENTS = range(3)
 #: Lists longer than this are compared by rare shingles in the last round.
 CROWDED = 16
 
+#: Word sequences that a task remembers, so as not to enter copies again; forgetting only repeats entries.
+REMEMBERED = 1 << 17
+
+#: Bits of a key: it only brings sets together, they are told apart when they are compared.
+KEY_BITS = 48
+#: Words of 64 bits that hold whether an odd number of a set's elements falls on each bit.  Bits in which two sets differ are
+#: never more than elements in which they differ, so a pair beyond the bound need not be compared.
+PARITY = 8
+PARITIES = [f"p{k}" for k in range(PARITY)]
+
 SKETCH = (
-    "doc_id long, print long, digest binary, n_shingles long, scheme int, worth long, need long, form int, "
-    "own binary, own_slot binary, other binary"
+    "doc_id long, print long, node long, digest binary, n_shingles long, scheme int, worth long, need long, form int, "
+    + ", ".join(f"{p} long" for p in PARITIES)
 )
 
 
@@ -74,21 +84,35 @@ class Schemes:
         need = self.differences(2 * most) + 1
         if most < SMALL:
             return -(-need // 2) + 4
-        # 2.5 or 3.5 elements a segment at similarity 0.8; in proportion otherwise
-        return int(need * (1.8 if most < MIDDLE else 1.286)) + 1
+        # 2.5 or 3.75 elements a segment at similarity 0.8; in proportion otherwise
+        return int(need * (1.8 if most < MIDDLE else 1.2)) + 1
 
     def larger(self, n: int) -> list[int]:
         """Schemes above its own whose sets a set of n elements may be linked with."""
         return list(range(self.scheme(n) + 1, self.scheme(n * 100 // self.percent) + 1))
 
+    def _segment(self, elements: np.ndarray, scheme: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+        """A hash of each element and its segment in a scheme, and the salt of the scheme."""
+        salt = np.uint64((scheme * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1))
+        spread = mix(elements * np.uint64(0xD6E8FEB86659FD93) + salt)
+        count = np.uint64(self.segments(scheme))
+        return spread, ((spread >> np.uint64(32)) * count >> np.uint64(32)).astype(np.int64), salt
+
+    def worth(self, elements: np.ndarray, scheme: int) -> int:
+        """What all segments of a set are worth in a scheme."""
+        form = self.form(scheme)
+        if form == ELEMENTS:
+            return len(elements)
+        size = np.bincount(self._segment(elements, scheme)[1])
+        return int(np.minimum(size, 2 if form == DELETIONS else 1).sum())
+
     def entries(self, elements: np.ndarray, scheme: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Keys of a set in a scheme, the slot of each (segment * 4 + worth), and what all segments are worth."""
-        form, salt = self.form(scheme), np.uint64((scheme * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1))
+        form, count = self.form(scheme), self.segments(scheme)
+        spread, segment, salt = self._segment(elements, scheme)
         if form == ELEMENTS:
-            return mix(elements ^ salt).view(np.int64), np.arange(len(elements)) * 4 + 1, len(elements)
-        count = self.segments(scheme)
-        spread = mix(elements * np.uint64(0xD6E8FEB86659FD93) + salt)
-        segment = ((spread >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+            keys = mix(elements ^ salt) >> np.uint64(64 - KEY_BITS)
+            return keys.view(np.int64), np.arange(len(elements)) * 4 + 1, len(elements)
         sums = np.zeros(count, np.uint64)
         np.add.at(sums, segment, spread)
         size = np.bincount(segment, minlength=count)
@@ -96,7 +120,7 @@ class Schemes:
         worth = np.where((size >= 2) & (form == DELETIONS), 2, 1)
 
         def key(of: np.ndarray, value: np.ndarray) -> np.ndarray:
-            return mix(mix(value + of.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ salt)
+            return mix(mix(value + of.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ salt) >> np.uint64(64 - KEY_BITS)
 
         keys, slots = key(some, sums[some]), some * 4 + worth[some]
         if form == DELETIONS:
@@ -106,40 +130,49 @@ class Schemes:
         return keys.view(np.int64), slots, int(worth[some].sum())
 
 
+def _sets(batch: pa.RecordBatch, texts: pa.Array, shingle: int) -> Iterator[tuple]:
+    """Runs of rows: first row, end, and for each the digest of its words, their number, and its distinct shingles."""
+    for chunk in chunks(texts):
+        words = find_words(chunk, NOT_SPACE)
+        n_words = np.diff(words.first)
+        hashes, row = _distinct_windows(words, shingle)
+        ends = np.searchsorted(row, np.arange(chunk.hi - chunk.lo + 1))
+        rows = []
+        for k, n in enumerate(n_words):
+            own = chunk.data[chunk.offsets[k] : chunk.offsets[k + 1]].tobytes()
+            digest = blake2b(b" ".join(own.split()), digest_size=16).digest() if n else None
+            rows.append((digest, int(n), hashes[ends[k] : ends[k + 1]]))
+        yield chunk.lo, chunk.hi, rows
+
+
+def _parity(elements: np.ndarray) -> list[int]:
+    bit = (mix(elements * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(32)) % np.uint64(64 * PARITY)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def sketch(docs: DataFrame, schemes: Schemes, id_col: str, text: str, shingle: int) -> DataFrame:
-    """Per row: id, a print of the text, a digest of the word sequence, set size, and its entries."""
+    """Per row: id, a print of the text, a digest of the word sequence and its first 64 bits (``node``), set size, and what the
+    segments of its scheme are worth against what it needs."""
     chosen = docs.select(
         col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("print"), col(text).alias("text")
     )
 
-    def entered(elements: np.ndarray) -> tuple:
-        n = len(elements)
-        own = schemes.scheme(n)
-        keys, slots, worth = schemes.entries(elements, own)
-        others = [schemes.entries(elements, k)[0] for k in schemes.larger(n)]
-        other = np.concatenate(others) if others else np.zeros(0, np.int64)
-        need = schemes.differences(2 * n) + 1
-        return own, worth, need, schemes.form(own), keys.tobytes(), slots.astype(np.int32).tobytes(), other.tobytes()
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["doc_id", "print", "digest", "n_shingles", "scheme", "worth", "need", "form", "own", "own_slot", "other"]
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * PARITY]
+        names = ["doc_id", "print", "node", "digest", "n_shingles", "scheme", "worth", "need", "form", *PARITIES]
         for batch in batches:
-            for chunk in chunks(batch.column(2)):
-                words = find_words(chunk, NOT_SPACE)
-                n_words = np.diff(words.first)
-                hashes, row = _distinct_windows(words, shingle)
-                ends = np.searchsorted(row, np.arange(chunk.hi - chunk.lo + 1))
+            for lo, hi, sets in _sets(batch, batch.column(2), shingle):
                 rows = []
-                for k, n in enumerate(n_words):
-                    own = chunk.data[chunk.offsets[k] : chunk.offsets[k + 1]].tobytes()
-                    digest = blake2b(b" ".join(own.split()), digest_size=16).digest() if n else None
-                    elements = hashes[ends[k] : ends[k + 1]]
+                for digest, n, elements in sets:
+                    node = int.from_bytes(digest[:8], "little", signed=True) if n else None
                     if n < shingle:
-                        rows.append((digest, min(int(n), 1), None, None, None, None, None, None, None))
-                    else:
-                        rows.append((digest, len(elements), *entered(elements)))
-                part = batch.slice(chunk.lo, chunk.hi - chunk.lo)
+                        rows.append((node, digest, min(n, 1), *[None] * (4 + PARITY)))
+                        continue
+                    own, size = schemes.scheme(len(elements)), len(elements)
+                    worth, need = schemes.worth(elements, own), schemes.differences(2 * size) + 1
+                    rows.append((node, digest, size, own, worth, need, schemes.form(own), *_parity(elements)))
+                part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names
                 )
@@ -147,54 +180,87 @@ def sketch(docs: DataFrame, schemes: Schemes, id_col: str, text: str, shingle: i
     return chosen.mapInArrow(run, SKETCH)
 
 
-def _sketched(docs: DataFrame, id_col: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """The stored sketch, in forms that give every set an allocation."""
+def _sketched(docs: DataFrame, id_col: str, text: str, shingle: int, percent: int) -> tuple[DataFrame, Schemes]:
+    """The stored sketch, and the forms that give every set an allocation."""
     forms: dict[int, int] = {}
     while True:
-        rows = keep(
-            sketch(docs, Schemes(percent, forms), id_col, text, shingle).withColumn("row", F.monotonically_increasing_id()), "sketch"
-        )
+        schemes = Schemes(percent, forms)
+        rows = keep(sketch(docs, schemes, id_col, text, shingle), "sketch")
         # at most one row a band; the bands grow by a factor, so there are some dozens
         short = rows.where("worth < need").groupBy("scheme").agg(F.max("form").alias("form")).collect()
         if not short:
-            return rows
-        forms |= {r["scheme"]: r["form"] + 1 for r in short}
+            return rows, schemes
+        forms = forms | {r["scheme"]: r["form"] + 1 for r in short}
 
 
-def _entries(sets: DataFrame) -> DataFrame:
-    """(key, node, slot) of all sets; the slot of an entry in the scheme of larger sets is -1."""
+def _entries(docs: DataFrame, schemes: Schemes, text: str, shingle: int) -> DataFrame:
+    """(key, node, slot) of all sets; the slot of an entry in the scheme of larger sets is -1.
+
+    Entries go from the texts straight into the shuffle, they are never stored unshared.  Copies of a word sequence are entered
+    once a task (while it is remembered), so a group of copies of any size adds a few rows to its keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            nodes = batch.column(0).to_numpy()
-            own, slots, other = (
-                [np.frombuffer(b, kind) for b in batch.column(k).to_pylist()]
-                for k, kind in ((1, np.int64), (2, np.int32), (3, np.int64))
-            )
-            for a in range(0, len(nodes), 256):
-                b = min(a + 256, len(nodes))
-                keys = np.concatenate(own[a:b] + other[a:b])
-                slot = np.concatenate(slots[a:b] + [np.full(len(o), -1, np.int32) for o in other[a:b]])
-                node = np.concatenate((np.repeat(nodes[a:b], [*map(len, own[a:b])]), np.repeat(nodes[a:b], [*map(len, other[a:b])])))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node), pa.array(slot)], names=["key", "node", "slot"])
-
-    return sets.select("node", "own", "own_slot", "other").mapInArrow(run, "key long, node long, slot int")
+            keys, slots, nodes, size = [], [], [], 0
+
+            def entered() -> pa.RecordBatch:
+                node = np.repeat(np.array(nodes, np.int64), [*map(len, keys)])
+                columns = [np.concatenate(keys), node, np.concatenate(slots).astype(np.int32)]
+                return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["key", "node", "slot"])
+
+            for _, _, sets in _sets(batch, batch.column(0), shingle):
+                for digest, n, elements in sets:
+                    if n < shingle or digest in seen:
+                        continue
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(digest)
+                    own, slot, _ = schemes.entries(elements, schemes.scheme(len(elements)))
+                    others = [schemes.entries(elements, k)[0] for k in schemes.larger(len(elements))]
+                    keys.append(np.concatenate((own, *others)))
+                    slots.append(np.concatenate((slot, np.full(len(keys[-1]) - len(own), -1))))
+                    nodes.append(int.from_bytes(digest[:8], "little", signed=True))
+                    size += len(keys[-1])
+                if size > 1 << 17:
+                    yield entered()
+                    keys, slots, nodes, size = [], [], [], 0
+            if nodes:
+                yield entered()
+
+    return docs.select(col(text).alias("text")).mapInArrow(run, "key long, node long, slot int")
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """Entries whose key more than one set has, once each, with the length of the key's list: one shuffle."""
+    list_ = Window.partitionBy("key")
+    counted = entries.withColumns({
+        "size": F.count("*").over(list_), "lo": F.min("node").over(list_), "hi": F.max("node").over(list_)
+    })
+    return counted.where("lo <> hi").groupBy("key", "node", "slot").agg(F.max("size").alias("size"))
 
 
 def _allocated(shared: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, node) of the shared entries that a set probes: what is missing after all unshared segments, shortest lists first."""
-    segment = F.shiftright("slot", 2)
-    lists = shared.where("slot >= 0").withColumn("segment", segment).groupBy("node", "segment").agg(
-        F.sum("size").alias("cost"), F.max(F.col("slot").bitwiseAND(3)).alias("value")
-    )
-    own = Window.partitionBy("node")
-    before = F.sum("value").over(own.orderBy("cost", "segment").rowsBetween(Window.unboundedPreceding, -1))
-    placed = lists.select("node", "segment", F.coalesce(before, F.lit(0)).alias("before"), F.sum("value").over(own).alias("shared"))
-    probed = placed.join(nodes.select("node", "worth", "need"), "node").where("before < need - (worth - shared)")
-    return (
-        shared.where("slot >= 0").withColumn("segment", segment)
-        .join(probed.select("node", "segment"), ["node", "segment"], "left_semi").select("key", "node").distinct()
-    )
+    """(key, node) of the shared entries that a set probes: what is missing after all unshared segments, shortest lists first.
+
+    Sets whose unshared segments are worth enough are done, and their entries travel no further."""
+    own = shared.where("slot >= 0").withColumns({"segment": F.shiftright("slot", 2), "value": F.col("slot").bitwiseAND(3)})
+    most = own.groupBy("node").agg(F.sum("value").alias("most"))  # several entries of a segment count each: at least the true sum
+    asking = nodes.join(most, "node").where("worth - most < need").select("node", "worth", "need")
+    rows = own.join(asking, "node").repartition("node")
+    segment, of_node = Window.partitionBy("node", "segment"), Window.partitionBy("node")
+    once = F.when(F.row_number().over(segment.orderBy("key")) == 1, F.col("value")).otherwise(0)
+    costs = rows.withColumns({"cost": F.sum("size").over(segment), "once": once})
+    upto = F.sum("once").over(of_node.orderBy("cost", "segment"))  # a range frame: entries of a segment are peers
+    placed = costs.withColumns({"before": upto - F.col("value"), "shared": F.sum("once").over(of_node)})
+    return placed.where("before < need - (worth - shared)").select("key", "node").distinct()
+
+
+def _lists(shared: DataFrame, probes: DataFrame) -> DataFrame:
+    """(key, node, probes) of all entries of the keys that some set probes: one shuffle by key."""
+    both = shared.select("key", "node", F.lit(False).alias("probes")).unionByName(probes.withColumn("probes", F.lit(True)))
+    entries = both.repartition("key").groupBy("key", "node").agg(F.max("probes").alias("probes"))
+    return entries.withColumn("asked", F.max("probes").over(Window.partitionBy("key"))).where("asked").drop("asked")
 
 
 def _met(lists: DataFrame, percent: int) -> DataFrame:
@@ -221,13 +287,56 @@ def _apart(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled.join(mixed.select("key"), "key", "left_semi")
 
 
-def _last(lists: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _last(lists: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """All pairs of different components that a probe brings together and that may be links."""
     lists = keep(lists, "apart")
     crowded = lists.groupBy("key").agg(F.count("*").alias("size")).where(f"size > {CROWDED}").select("key")
     few = _met(lists.join(crowded, "key", "left_anti"), percent)
-    many = lists.join(crowded, "key", "left_semi").select("key", "node", "n", "root")
-    return few.union(_dense(many, texts, shingle, percent)).distinct()
+    many = lists.join(crowded, "key", "left_semi").select("node", "n", "root").distinct()
+    return few.union(_by_rare_shingles(many, nodes, texts, shingle, percent)).distinct()
+
+
+def _by_rare_shingles(sets: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs of sets (node, n, root) of different components that may be links by their rarest shingles.
+
+    With every set in one order, rarest shingles first, two similar sets share one among their first ones, where both are still
+    long enough for the overlap they need; and their parities differ in no more bits than they may differ in elements.
+    Of each pair one set lies outside its shingle's largest component, so that a group never meets itself."""
+    rows = keep(_shingles(sets, texts, shingle), "shingles")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    own = Window.partitionBy("node")
+    # shingles of one set alone come first in its order and meet nobody
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("times", "shingle"))
+    placed = rows.join(counts, "shingle").withColumn("place", place)
+    first = placed.where(f"place <= n - ceil({percent} * n / 100) + 1").drop("times")
+    first = keep(_with_main(first.join(nodes.select("node", *PARITIES), "node")), "first-shingles")
+    smaller = first.where(f"place <= n - ceil({2 * percent} * n / {100 + percent}) + 1").select(
+        "shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("place").alias("at"), "main",
+        *[F.col(p).alias(f"{p}_") for p in PARITIES],
+    )
+    outside, inside = first.where("root <> main").drop("main"), first.where("root = main").drop("main")
+    may = (
+        f"root <> r and (m < n or (m = n and other < node)) and m * 100 >= n * {percent} "
+        f"and {100 + percent} * (1 + least(n - place, m - at)) >= {percent} * (n + m) and {_alike(percent)}"
+    )
+    met = [
+        side.join(others.drop("main"), "shingle").where(may).select("node", "other")
+        for side, others in ((outside, smaller), (inside, smaller.where("r <> main")))
+    ]
+    return met[0].unionByName(met[1]).select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+
+
+def _alike(percent: int) -> str:
+    """The parities of two sets differ in no more bits than sets of their sizes may differ in elements."""
+    bits = " + ".join(f"bit_count({p} ^ {p}_)" for p in PARITIES)
+    return f"({bits}) <= (n + m) * {100 - percent} div {100 + percent}"
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and parities allow."""
+    left = nodes.select(F.col("node").alias("u"), "n", *PARITIES)
+    right = nodes.select(F.col("node").alias("v"), F.col("n").alias("m"), *[F.col(p).alias(f"{p}_") for p in PARITIES])
+    return pairs.join(left, "u").join(right, "v").where(_alike(percent)).select("u", "v")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -269,23 +378,24 @@ def similarity_classes(
     Rows are linked if 100 * intersection >= percent * union of their sets of shingles; ``component_id`` is the smallest id
     reachable, ``group_size`` the number of rows of the component.  A row of fewer words than a shingle has the whole
     sequence as its one element; rows without words (null and empty texts) are linked with nothing, not even each other.  Null ids never become
-    a component's id unless it has no other.  Rows that repeat an id are linked like others."""
-    rows = _sketched(docs, id_col, text, shingle, percent)
+    a component's id unless it has no other.  Rows that repeat an id are linked like others.
+
+    64 bits of a digest stand for a word sequence, and a 64-bit hash for a shingle."""
+    rows, schemes = _sketched(docs, id_col, text, shingle, percent)
     nodes = keep(
-        rows.where("digest is not null").groupBy("digest").agg(
-            F.min("row").alias("node"), F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"),
-            F.max("worth").alias("worth"), F.max("need").alias("need"), F.count("*").alias("copies"),
+        rows.where("digest is not null").groupBy("digest", "node").agg(
+            F.min(F.struct("doc_id", "print")).alias("first"),
+            F.min("doc_id").alias("least"),  # unlike the struct's it passes over nulls
+            F.max("n_shingles").alias("n"), F.max("worth").alias("worth"), F.max("need").alias("need"),
+            F.count("*").alias("copies"), *[F.max(p).alias(p) for p in PARITIES],
         ),
         "nodes",
     )
-    sets = rows.where("own is not null").withColumnRenamed("row", "node").join(nodes.select("node"), "node", "left_semi")
-    times = F.count("*").over(Window.partitionBy("key"))
-    shared = keep(_entries(sets).withColumn("size", times).where("size > 1"), "shared")
+    shared = keep(_shared(_entries(docs, schemes, text, shingle)), "shared")
     probes = keep(_allocated(shared, nodes), "probes")
-    asked = shared.join(probes.select("key").distinct(), "key", "left_semi").select("key", "node").distinct()
-    lists = asked.join(probes.withColumn("probes", F.lit(True)), ["key", "node"], "left").fillna(False, ["probes"])
-    lists = keep(lists.join(nodes.select("node", "n"), "node"), "lists")
-    wanted = rows.select(F.col("row").alias("node"), "doc_id", "print").join(lists.select("node").distinct(), "node", "left_semi")
+    lists = keep(_lists(shared, probes).join(nodes.select("node", "n"), "node"), "lists")
+    met = keep(nodes.join(lists.select("node").distinct(), "node", "left_semi"), "met")
+    wanted = keep(met.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.print").alias("print")), "wanted")
     texts = keep(_texts(docs, id_col, text, wanted), "texts")
 
     roots = rows.sparkSession.createDataFrame([], "node long, root long")
@@ -293,12 +403,12 @@ def similarity_classes(
     for k, pairs_of in enumerate((
         lambda part: _with_centre(part, percent),
         lambda part: _with_centre(part, percent, "key"),
-        lambda part: _last(part, texts, shingle, percent),
+        lambda part: _last(part, met, texts, shingle, percent),
     )):
         pairs = pairs_of(_apart(lists, roots))
         for before in compared:
             pairs = pairs.join(before, ["u", "v"], "left_anti")
-        compared.append(keep(pairs, "pairs"))
+        compared.append(keep(_possible(pairs, met, percent), "pairs"))
         links = _verified(compared[-1], texts, shingle, percent)
         roots = components(links.union(roots.select("node", "root")) if k else links)
 
