@@ -36,6 +36,8 @@ END = "</w>"
 #: Letters of known words (about 20 bytes each), and pairs of tokens, that a task remembers at most.
 MAX_LETTERS = 3_000_000
 MAX_PAIRS = 300_000
+#: Digests of texts that a task remembers at most.
+MAX_TEXTS = 50_000
 NEVER = 1 << 30
 
 
@@ -149,9 +151,8 @@ class Encoder:
         self.whole: dict[str, bool] = {}
         self.pairs = Recent()
         self.edges: tuple[dict, dict] = ({}, {})
-        #: Of each word its packed ids, and the strings of its tokens as the decoder shows them.
-        self.known = Recent()
-        self.marked = {s: (_packed([n]), s.encode()) for s, n in self.special.items()}
+        #: Of each word its packed ids, and the strings of its tokens as the decoder shows them; both age together.
+        self.known, self.shown = Recent(), Recent()
         self.letters_known = 0
 
     # -- which tokens may end a prefix ------------------------------------------------------------
@@ -246,10 +247,14 @@ class Encoder:
         """
         if self.letters_known >= self.max_letters // 2:
             self.known.age()
+            self.shown.age()
             self.letters_known = 0
-        self.known.young |= self.marked
-        known = self.known.get
-        plain = [(w.encode().decode("latin-1").translate(self.symbols), w) for w in words if known(w) is None]
+        for mark, number in self.special.items():
+            self.known.young[mark], self.shown.young[mark] = _packed([number]), mark.encode()
+        known, shown = self.known.get, self.shown.get
+        plain = [
+            (w.encode().decode("latin-1").translate(self.symbols), w) for w in words if known(w) is None or shown(w) is None
+        ]
         plain.sort()
         path: list[str | None] = [None]
         before = ""
@@ -269,7 +274,8 @@ class Encoder:
                 at -= len(token.removesuffix(END)) if at == n else len(token)
                 token = path[at]
             tokens.reverse()
-            self.known.young[original] = _packed([self.ids[t] for t in tokens]), " ".join(tokens).encode()
+            self.known.young[original] = _packed([self.ids[t] for t in tokens])
+            self.shown.young[original] = " ".join(tokens).encode()
             self.letters_known += n
 
     # -- texts ------------------------------------------------------------------------------------
@@ -300,10 +306,9 @@ class Encoder:
         """Of each text the packed token ids, and the decoded text in UTF-8."""
         split = [self.words_of(t) for t in texts]
         self.learn(set().union(*split))
-        known = self.known.young
+        ids, shown = self.known.young.__getitem__, self.shown.young.__getitem__
         for words in split:
-            found = [known[w] for w in words]
-            yield b"".join([ids for ids, _ in found]), b" ".join([shown for _, shown in found])
+            yield b"".join(map(ids, words)), b" ".join(map(shown, words))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
@@ -384,12 +389,18 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text: s
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, seen = Encoder(shared.value), Recent()  # copies of a text met lately are not encoded again
         for batch in batches:
             for part in _steps(batch, 1):
-                both = encoder.encode_both([t or "" for t in part.column(1).to_pylist()])
-                rows = [(len(ids) // 4, sha256(ids).hexdigest(), sha256(shown).hexdigest()) for ids, shown in both]
-                n, ids, shown = zip(*rows)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                prints = [sha256(t.encode()).digest() for t in texts]
+                new = {p: t for p, t in zip(prints, texts) if seen.get(p) is None}
+                found = dict(zip(new, encoder.encode_both(list(new.values()))))
+                for p, (ids, shown) in found.items():
+                    seen.young[p] = len(ids) // 4, sha256(ids).hexdigest(), sha256(shown).hexdigest()
+                n, ids, shown = zip(*map(seen.young.__getitem__, prints))
+                if len(seen.young) >= MAX_TEXTS // 2:
+                    seen.age()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(shown, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
