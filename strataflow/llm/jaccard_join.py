@@ -107,12 +107,14 @@ class Schemes:
         return int(np.minimum(size, 2 if form == DELETIONS else 1).sum())
 
     def entries(self, elements: np.ndarray, scheme: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Keys of a set in a scheme, the slot of each (segment * 4 + worth), and what all segments are worth."""
+        """Keys of a set in a scheme, the slot of each, and what all segments are worth.
+
+        A slot is what the segment is worth, plus four times its number (from 1) where a segment has several keys."""
         form, count = self.form(scheme), self.segments(scheme)
         spread, segment, salt = self._segment(elements, scheme)
         if form == ELEMENTS:
             keys = mix(elements ^ salt) >> np.uint64(64 - KEY_BITS)
-            return keys.view(np.int64), np.arange(len(elements)) * 4 + 1, len(elements)
+            return keys.view(np.int64), np.ones(len(elements), np.int64), len(elements)
         sums = np.zeros(count, np.uint64)
         np.add.at(sums, segment, spread)
         size = np.bincount(segment, minlength=count)
@@ -122,11 +124,12 @@ class Schemes:
         def key(of: np.ndarray, value: np.ndarray) -> np.ndarray:
             return mix(mix(value + of.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) ^ salt) >> np.uint64(64 - KEY_BITS)
 
-        keys, slots = key(some, sums[some]), some * 4 + worth[some]
+        keys, slots = key(some, sums[some]), np.ones(len(some), np.int64)
         if form == DELETIONS:
+            slots = some * 4 + 4 + worth[some]
             cut = size[segment] >= 2  # an empty part is no entry
             keys = np.concatenate((keys, key(segment[cut], (sums[segment] - spread)[cut])))
-            slots = np.concatenate((slots, (segment * 4 + worth[segment])[cut]))
+            slots = np.concatenate((slots, (segment * 4 + 4 + worth[segment])[cut]))
         return keys.view(np.int64), slots, int(worth[some].sum())
 
 
@@ -194,7 +197,7 @@ def _sketched(docs: DataFrame, id_col: str, text: str, shingle: int, percent: in
 
 
 def _entries(docs: DataFrame, schemes: Schemes, text: str, shingle: int) -> DataFrame:
-    """(key, node, slot) of all sets; the slot of an entry in the scheme of larger sets is -1.
+    """(key, node, slot) of all sets; the slot of an entry in the scheme of larger sets is 0.
 
     Entries go from the texts straight into the shuffle, they are never stored unshared.  Copies of a word sequence are entered
     once a task (while it is remembered), so a group of copies of any size adds a few rows to its keys."""
@@ -219,7 +222,7 @@ def _entries(docs: DataFrame, schemes: Schemes, text: str, shingle: int) -> Data
                     own, slot, _ = schemes.entries(elements, schemes.scheme(len(elements)))
                     others = [schemes.entries(elements, k)[0] for k in schemes.larger(len(elements))]
                     keys.append(np.concatenate((own, *others)))
-                    slots.append(np.concatenate((slot, np.full(len(keys[-1]) - len(own), -1))))
+                    slots.append(np.concatenate((slot, np.zeros(len(keys[-1]) - len(own), np.int64))))
                     nodes.append(int.from_bytes(digest[:8], "little", signed=True))
                     size += len(keys[-1])
                 if size > 1 << 17:
@@ -244,7 +247,9 @@ def _allocated(shared: DataFrame, nodes: DataFrame) -> DataFrame:
     """(key, node) of the shared entries that a set probes: what is missing after all unshared segments, shortest lists first.
 
     Sets whose unshared segments are worth enough are done, and their entries travel no further."""
-    own = shared.where("slot >= 0").withColumns({"segment": F.shiftright("slot", 2), "value": F.col("slot").bitwiseAND(3)})
+    number = F.shiftright("slot", 2)
+    segment = F.when(number > 0, number.cast("long")).otherwise(F.col("key"))  # a set has one form, so these never mix
+    own = shared.where("slot > 0").withColumns({"segment": segment, "value": F.col("slot").bitwiseAND(3)})
     most = own.groupBy("node").agg(F.sum("value").alias("most"))  # several entries of a segment count each: at least the true sum
     asking = nodes.join(most, "node").where("worth - most < need").select("node", "worth", "need")
     rows = own.join(asking, "node").repartition("node")
@@ -258,7 +263,8 @@ def _allocated(shared: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _lists(shared: DataFrame, probes: DataFrame) -> DataFrame:
     """(key, node, probes) of all entries of the keys that some set probes: one shuffle by key."""
-    both = shared.select("key", "node", F.lit(False).alias("probes")).unionByName(probes.withColumn("probes", F.lit(True)))
+    possible = _passing(shared.select("key", "node"), "key", probes)
+    both = possible.withColumn("probes", F.lit(False)).unionByName(probes.withColumn("probes", F.lit(True)))
     entries = both.repartition("key").groupBy("key", "node").agg(F.max("probes").alias("probes"))
     return entries.withColumn("asked", F.max("probes").over(Window.partitionBy("key"))).where("asked").drop("asked")
 
@@ -341,7 +347,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough."""
-    left, right = texts.toDF("u", "a"), texts.toDF("v", "b")
+    left = _passing(texts, "node", pairs.select(F.col("u").alias("node"))).toDF("u", "a")
+    right = _passing(texts, "node", pairs.select(F.col("v").alias("node"))).toDF("v", "b")
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         out = []
@@ -363,9 +370,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+#: Slots of the filter that rows pass before they are shuffled: a table of at most so many numbers is broadcast.
+SLOTS = 1 << 20
+
+
+def _passing(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose value of a column may occur in ``wanted``: most others stop at a filter of fixed size, unshuffled."""
+    slot = F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
+    return rows.join(F.broadcast(wanted.select(slot.alias("_slot")).distinct()), slot == F.col("_slot"), "left_semi")
+
+
 def _texts(docs: DataFrame, id_col: str, text: str, wanted: DataFrame) -> DataFrame:
     """(node, text) of ``wanted`` (node, doc_id, print)."""
     raw = docs.select(col(id_col).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("print"), col(text).alias("text"))
+    raw = _passing(raw, "print", wanted)
     same = raw["doc_id"].eqNullSafe(wanted["doc_id"]) & (raw["print"] == wanted["print"])
     return raw.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
 

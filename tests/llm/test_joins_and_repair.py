@@ -120,7 +120,7 @@ def test_allocations_are_complete():
             assert worth >= schemes.differences(2 * n) + 1
             assert scheme == schemes.scheme(keep) or scheme in schemes.larger(keep)
             shared = np.isin(keys, schemes.entries(small, scheme)[0])
-            value = {s >> 2: s & 3 for s, same in zip(slots.tolist(), shared) if same}
+            value = {(s >> 2 or key): s & 3 for key, s, same in zip(keys.tolist(), slots.tolist(), shared) if same}
             assert worth - sum(value.values()) <= schemes.differences(n + keep)
 
 
