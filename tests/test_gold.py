@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -163,3 +164,55 @@ def test_published_facts_of_the_fixture(medium_lake):
     # a broadcast dimension, one shuffle per join key, no single-partition window
     text = medium_lake.plan("operational_metrics")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SinglePartition" not in text
+
+
+@pytest.fixture
+def plain_joins(spark):
+    """No broadcast, and parts small enough for a hot key of a few thousand rows to be split."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.files.maxPartitionBytes": "64k",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_payments_travel_once_to_the_cube(spark, tmp_path, plain_joins):
+    """One exchange by application, none by application and cell; a hot application is split and counts once a cell."""
+    paid = F.timestamp_add("DAY", (F.col("id") % 70).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("payment_time")
+    raw = spark.range(0, 9000, 1, 8).select(
+        F.col("id").alias("payment_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 100 == 1, None).otherwise(F.col("id") % 400).cast("long").alias("application_id"),
+        (F.xxhash64("id") % 40_000 / 100 + 500).cast("decimal(10,2)").alias("amount"), F.lit("USD").alias("currency"),
+        F.concat(F.lit("m"), (F.col("id") % 4).cast("string")).alias("payment_method"), F.lit("g").alias("payment_gateway"),
+        F.when(F.col("id") % 5 == 0, "Failed").otherwise("Completed").alias("status"), paid,
+    )
+    silver.enrich_payments(raw).write.parquet(f"{tmp_path}/payments")
+    payments = spark.read.parquet(f"{tmp_path}/payments")
+    apps = spark.range(300).select(
+        F.col("id").alias("application_id"), (F.col("id") % 3).cast("int").alias("country_id"), (F.col("id") % 2).cast("int").alias("visa_type_id"))
+    countries = spark.range(3).select(F.col("id").cast("int").alias("country_id"), F.lit("n").alias("country_name"), F.lit("c").alias("continent"))
+    visas = spark.range(2).select(F.col("id").cast("int").alias("visa_type_id"), F.lit("v").alias("visa_type_name"))
+    cube = gold.revenue_metrics(payments, apps, countries, visas)
+    shown = cube.select(
+        "country_id", "visa_type_id", "payment_year", "payment_month", "payment_method", "total_transactions", "total_applications",
+        "total_revenue", "successful_payments", "successful_revenue", "min_transaction_value", "max_transaction_value")
+    got = rows(shown)
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    first = plan[plan.index("Initial Plan"):]
+    assert len(re.findall(r"hashpartitioning\(application_id#", first)) == 2  # one of each side
+    assert not re.search(r"hashpartitioning\(application_id#\w+, payment_year", first)
+    ok = F.col("is_successful")
+    assert got == rows(payments.join(apps, "application_id").groupBy(
+        "country_id", "visa_type_id", "payment_year", "payment_month", "payment_method").agg(
+        F.count("*"), F.count_distinct("application_id"), F.sum("amount"), F.count_if(ok),
+        F.coalesce(F.sum(F.when(ok, F.col("amount"))), F.lit(0)).cast("decimal(20,2)"), F.min("amount"), F.max("amount")))
+    kinds = dict(cube.dtypes)
+    assert kinds["total_revenue"] == kinds["revenue_lost_to_failed_payments"] == "decimal(30,2)"
+    assert kinds["successful_revenue"] == "decimal(31,2)"
