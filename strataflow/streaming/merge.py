@@ -4,8 +4,8 @@
 merged into it by key: only the ranges it touches are read and rewritten.  What changed is kept as a feed of rows before and after,
 and ``refresh_partitions`` recomputes just the partitions of a gold table that the feed reaches.
 
-A merge can be lost at any point and repeated.  Its result is first written beside the table; the feed is derived while the table is
-still as it was; only then are the touched ranges replaced, from the written result, as often as need be.
+A merge can be lost at any point and repeated.  Its result is first written beside the table, with the rows that it replaces; the
+feed is derived from that; then the touched ranges are replaced, from the written result, as often as need be.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from ..session import folder_exists, remove_folder, store
 RANGE = "_range"
 #: Keys of a range: about what one task should rewrite.
 RANGE_KEYS = 1_000_000
+#: Of a staged row: whether the batch brought it, and whether it is the newest of its key; the others go.
+MARKS = (T.StructField("is_new", T.BooleanType()), T.StructField("is_current", T.BooleanType()))
 
 
 class CurrentRows:
@@ -70,46 +72,43 @@ class CurrentRows:
         staged, feed = f"{self.folder}/staged/{batch}", f"{self.folder}/changes/{batch}"
         if not folder_exists(self.spark, f"{staged}/_SUCCESS"):
             self._stage(new, batch, staged)
-        merged = self._stored(staged, T.StructField("is_new", T.BooleanType()))
+        merged = self._stored(staged, *MARKS)
         if not folder_exists(self.spark, f"{feed}/_SUCCESS"):
-            came = merged.where("is_new")
-            gone = self.rows_of(came).withColumn("is_new", F.lit(False))
-            came.unionByName(gone).write.mode("overwrite").parquet(feed)
+            merged.where("is_new or not is_current").drop("is_current").write.mode("overwrite").parquet(feed)
         (
-            merged.drop("is_new").hint("rebalance", RANGE)
+            merged.where("is_current").drop("is_new", "is_current")
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(self.path)
         )
         if batch:
             remove_folder(self.spark, f"{self.folder}/staged/{batch - 1}")
 
-    def rows_of(self, keys: DataFrame) -> DataFrame:
-        """The current rows, with their range, of the keys in ``keys``, read from their ranges alone."""
-        if not folder_exists(self.spark, self.path):
-            return self._ranged(self.spark.createDataFrame([], self.schema))
-        held = self._stored(self.path)
-        touched = _values(keys, RANGE)
-        same = F.col(self.key).eqNullSafe(F.col("_key"))
-        return held.where(F.col(RANGE).isin(touched)).join(keys.select(F.col(self.key).alias("_key")).distinct(), same, "left_semi")
-
     def _ranged(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn(RANGE, F.coalesce(F.floor(F.col(self.key) / self.range_keys), F.lit(-1)).cast("bigint"))
 
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        """One version per key, chosen as a full build does; of a repeated version the one that was there before."""
-        order = [F.desc(c) for c in version_order(rows, self.order_by)]
-        version = F.xxhash64(*[f.name for f in self.schema])
-        ranked = Window.partitionBy(self.key).orderBy(*order, F.desc("_hash"), "is_new")
-        place = F.row_number().over(ranked)
-        return rows.withColumn("_hash", version).withColumn("_place", place).where("_place = 1").drop("_hash", "_place")
+    def _order(self, rows: DataFrame) -> list[Column]:
+        """The newest version first, chosen as a full build does; of a repeated version the one that was there before."""
+        return [*[F.desc(c) for c in version_order(rows, self.order_by)], F.desc("_hash"), F.asc("is_new")]
+
+    def _hashed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_hash", F.xxhash64(*[f.name for f in self.schema]))
 
     def _stage(self, new: DataFrame, batch: int, staged: str) -> None:
+        """Write the touched ranges as they will be, and beside them the rows that go.
+
+        New versions are reduced to one a key first, before they travel.  What is held has one a key as well, so that a range has
+        at most two rows a key: rows then travel once, by range, are compared there and written where they belong."""
         arrived = f"{self.folder}/arrived/{batch}"
-        self._ranged(self._newest(new.withColumn("is_new", F.lit(True)))).write.mode("overwrite").parquet(arrived)
-        came = self._stored(arrived, T.StructField("is_new", T.BooleanType()))
+        first = Window.partitionBy(self.key).orderBy(*self._order(new))
+        fresh = self._hashed(new.withColumn("is_new", F.lit(True))).withColumn("_place", F.row_number().over(first))
+        self._ranged(fresh.where("_place = 1").drop("_hash", "_place")).write.mode("overwrite").parquet(arrived)
+        rows = self._stored(arrived, MARKS[0])
         if folder_exists(self.spark, self.path):
-            held = self._stored(self.path).where(F.col(RANGE).isin(_values(came, RANGE)))
-            came = self._newest(held.withColumn("is_new", F.lit(False)).unionByName(came))
-        came.write.mode("overwrite").parquet(staged)
+            held = self._stored(self.path).where(F.col(RANGE).isin(_values(rows, RANGE)))
+            rows = rows.unionByName(held.withColumn("is_new", F.lit(False)))
+        rows = self._hashed(rows.repartition(RANGE))
+        versions = Window.partitionBy(RANGE, self.key).orderBy(*self._order(rows))
+        placed = rows.withColumn("is_current", F.row_number().over(versions) == 1)
+        placed.where("is_current or not is_new").drop("_hash").write.mode("overwrite").partitionBy(RANGE).parquet(staged)
         remove_folder(self.spark, arrived)
 
     def follow(

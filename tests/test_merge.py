@@ -139,3 +139,27 @@ def test_every_table_can_be_merged(spark, small_lake, tmp_path, table):
     whole = silver.clean_table(table, first.unionByName(second), AS_OF, PAYMENT_ORDER)
     got = state.silver(AS_OF)
     assert got.count() > 0 and rows(got) == rows(whole.select(*got.columns))
+
+
+def test_rows_travel_once_to_their_range(spark, tmp_path, monkeypatch):
+    """What is held is shuffled once a batch, by range; the feed and the replacement of ranges shuffle nothing."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    state, plain, plans = current(spark, tmp_path), DataFrameWriter.parquet, {}
+
+    def noted(self, path, *args, **kwargs):
+        plans[path.removeprefix(str(tmp_path)).split("/")[1]] = self._df._jdf.queryExecution().executedPlan().toString()
+        plain(self, path, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", noted)
+        for batch in range(2):
+            state.merge(spark.createDataFrame(versions(batch), SCHEMA), batch)
+    assert {k: plan.count("Exchange ") for k, plan in plans.items()} == {"arrived": 1, "staged": 1, "changes": 0, "current": 0}
+    assert rows(state.silver()) == rows(full(spark, versions(0) + versions(1)))
+    feed = state.changes(1)
+    before = rows(full(spark, versions(0)).select("payment_id", "amount", "payment_time"))
+    after = rows(state.silver().select("payment_id", "amount", "payment_time"))
+    gone, came = (rows(feed.where(c).select("payment_id", "amount", "payment_time")) for c in ("not is_new", "is_new"))
+    assert gone and len(set(gone)) == len(gone) and set(gone) <= set(before) and set(came) <= set(after)
+    assert {r[0] for r in gone} == {r[0] for r in came} & {r[0] for r in before}
