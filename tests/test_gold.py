@@ -216,3 +216,15 @@ def test_payments_travel_once_to_the_cube(spark, tmp_path, plain_joins):
     kinds = dict(cube.dtypes)
     assert kinds["total_revenue"] == kinds["revenue_lost_to_failed_payments"] == "decimal(30,2)"
     assert kinds["successful_revenue"] == "decimal(31,2)"
+
+
+def test_the_gap_carries_what_its_reports_read(medium_lake):
+    s, stored = medium_lake.silver, medium_lake.gold("unpaid_applications")
+    assert stored.columns == list(gold.UNPAID_COLUMNS) and "passport_id" not in stored.columns
+    tables = s("applications"), s("payments"), s("countries"), s("visa_types")
+    builds = (
+        lambda **k: gold.payment_gap_by_visa_type(*tables, **k), lambda **k: gold.payment_reconciliation(*tables, AS_OF, **k),
+        lambda **k: gold.payment_gap_by_status(*tables[:2], **k),
+    )
+    for build in builds:
+        assert rows(build()) == rows(build(unpaid=stored))
