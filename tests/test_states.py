@@ -196,3 +196,12 @@ def test_quality_history_is_append_only(spark, tmp_path, stored):
     assert {str(r.checked_at) for r in changes} == {"2024-01-02 00:00:00"} and len(changes) == 5
     orphans = next(r for r in changes if r.check_name == "Orphaned Payment Records")
     assert orphans.new_issues < 0 and not orphans.is_worse
+
+
+def test_stored_results_are_written_with_a_tight_codec(spark, tmp_path):
+    from strataflow.session import store
+
+    stored = store(spark.range(1000).withColumn("k", F.col("id") % 3), str(tmp_path / "t"), ["k"])
+    assert stored.count() == 1000
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
